@@ -84,7 +84,7 @@ def _found(kind: str, text: Column) -> Column:
 
 
 def personal_data(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns of df and ``_spans``: array<struct<start, end, rank, kind, score>>, ordered.
+    """All columns of df and ``_spans``: array<struct<start, rank, end, kind, score>>, ordered.
 
     Null texts are empty and have no spans; offsets count code points.  A column that is
     named ``_spans`` already is replaced; nothing is shuffled and every row comes back.
@@ -95,7 +95,7 @@ def personal_data(df: DataFrame, text_col: str = "text") -> DataFrame:
         def full(s):
             near = F.lower(F.substring(text, F.greatest(F.lit(1), s["start"] - NEAR + 1).cast("int"), F.least(F.lit(NEAR), s["start"]).cast("int")))
             score = F.least(F.lit(1.0), F.lit(PRIOR[kind]) + F.when(near.rlike(CONTEXT[kind]), 0.2).otherwise(0.0))
-            return F.struct(s["start"].alias("start"), (s["start"] + F.length(s["m"])).cast("bigint").alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), score.alias("score"))
+            return F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), (s["start"] + F.length(s["m"])).cast("bigint").alias("end"), F.lit(kind).alias("kind"), score.alias("score"))
 
         return F.transform(F.filter(_found(kind, text), lambda s: _valid(kind, s["m"])), full)
 

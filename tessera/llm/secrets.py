@@ -36,9 +36,9 @@ def _found(text: Column) -> list[Column]:
 
 
 def scan(blobs: DataFrame, content: str = "content") -> DataFrame:
-    """All columns of blobs and ``_spans``: array<struct<start, end, rank, kind>>, ordered; null content is empty."""
+    """All columns of blobs and ``_spans``: array<struct<start, rank, end, kind>>, ordered; null content is empty."""
     text = F.coalesce(F.col(content), F.lit(""))
-    full = lambda i, k: lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["m"])).cast("bigint").alias("end"), F.lit(i).alias("rank"), F.lit(k).alias("kind"))
+    full = lambda i, k: lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("rank"), (s["start"] + F.length(s["m"])).cast("bigint").alias("end"), F.lit(k).alias("kind"))
     return blobs.withColumn("_spans", F.array_sort(F.concat(*[F.transform(f, full(i, k)) for i, (k, f) in enumerate(zip(KINDS, _found(text)))])))
 
 
