@@ -30,6 +30,10 @@ def _gram(w: Column, at: Column, size: int) -> Column:
     return F.xxhash64(*[F.get(w, at + i) for i in range(size)])
 
 
+def _whole(n: int):
+    return lambda i: F.struct(F.lit(n).alias("len"), i.alias("at"), _gram(F.col("w"), i, n).alias("h"))
+
+
 def _marked(df: DataFrame, short: list[int]) -> DataFrame:
     """df with column w, plus ``marks``: array<struct<len, at, h>>, a fingerprint for each span.
 
@@ -40,8 +44,7 @@ def _marked(df: DataFrame, short: list[int]) -> DataFrame:
     least = lambda i: F.struct(F.lit(SPAN).alias("len"), i.alias("at"), F.least(*[F.get(F.col("_grams"), i + k) for k in range(WINDOW)]).alias("h"))
     marks = [F.when(F.size("w") >= SPAN, F.transform(F.sequence(F.lit(0), F.size("w") - SPAN), least)).otherwise(empty)]
     for n in short:
-        whole = lambda i, n=n: F.struct(F.lit(n).alias("len"), i.alias("at"), _gram(F.col("w"), i, n).alias("h"))
-        marks.append(F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), whole)).otherwise(empty))
+        marks.append(F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), _whole(n))).otherwise(empty))
     return df.withColumn("marks", F.concat(*marks) if len(marks) > 1 else marks[0]).drop("_grams")
 
 
