@@ -54,13 +54,16 @@ def correlation_matrix(spark, d):
     return profile.correlations(observations(spark, d), MEASURES).withColumn("r", F.round("r", 6))
 
 
-_LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LI = ["price", "revenue", "charge", "quantity"]
 _LIP = [(a, b) for i, a in enumerate(_LI) for b in _LI[i + 1 :]]
+_REVENUE = "v AS (SELECT l_extendedprice AS price, l_extendedprice * (1 - l_discount) AS revenue, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge, l_quantity AS quantity FROM lineitem)"
 
 
-@query("WITH c AS (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem" for a, b in _LIP) + ") SELECT * FROM c WHERE abs(r) >= 0.5")
+@query(f"WITH {_REVENUE}, c AS (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM v" for a, b in _LIP) + ") SELECT * FROM c WHERE abs(r) >= 0.8")
 def high_correlations(spark, d):
-    return profile.high_pairs(profile.correlations(table(spark, d, "lineitem"), _LI).withColumn("r", F.round("r", 6)), 0.5)
+    li, net = table(spark, d, "lineitem"), F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    v = li.select(F.col("l_extendedprice").alias("price"), net.alias("revenue"), (net * (1 + F.col("l_tax"))).alias("charge"), F.col("l_quantity").alias("quantity"))
+    return profile.high_pairs(profile.correlations(v, _LI).withColumn("r", F.round("r", 6)), 0.8)
 
 
 @query(
