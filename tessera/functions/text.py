@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -180,7 +181,6 @@ def safe_name(c: Column) -> Column:
 
 def title_similarity(a: Column, b: Column) -> Column:
     """Ratcliff-Obershelp ratio of two normalised titles, 0 where one is missing.  Arrow batches; run it after blocking."""
-    import pandas as pd
 
     @F.pandas_udf("double")
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:

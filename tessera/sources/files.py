@@ -86,9 +86,9 @@ def write(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     elif suffix == "duckdb":
         import duckdb
 
-        table = df.toArrow()  # noqa: F841  duckdb reads the variable
         with duckdb.connect(path) as con:
-            con.execute("create or replace table data as select * from table")
+            con.register("spark_rows", df.toArrow())
+            con.execute("create or replace table data as select * from spark_rows")
     else:
         raise ValueError(f"no writer for {path}")
 

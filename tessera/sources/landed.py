@@ -40,7 +40,7 @@ class LandedReader(DataSourceReader):
         return [InputPartition(f) for f in self.files]
 
     def read(self, partition):
-        if partition.value is None:
+        if partition is None:  # no file has landed
             return
         with open(partition.value, encoding="utf-8") as f:
             for line in f:
