@@ -44,22 +44,49 @@ def fire(degrees: dict[str, dict[str, Column]], rules: Sequence[tuple[dict[str,
     return {k: F.greatest(*v) if len(v) > 1 else v[0] for k, v in by.items()}
 
 
+def _degree(x: float, shape: str, *p: float) -> float:
+    """Membership of a plain number, for the constant grid of an output."""
+    from math import exp
+
+    e = N.EPSILON
+    if shape == "triangle":
+        v = min((x - p[0]) / (p[1] - p[0] + e), (p[2] - x) / (p[2] - p[1] + e))
+    elif shape == "trapezoid":
+        v = min((x - p[0]) / (p[1] - p[0] + e), 1.0, (p[3] - x) / (p[3] - p[2] + e))
+    elif shape == "gaussian":
+        v = exp(-0.5 * ((x - p[0]) / p[1]) ** 2)
+    else:
+        high = 0.0 if x <= p[0] else 1.0 if x >= p[1] else (x - p[0]) / (p[1] - p[0] + e)
+        v = high if shape == "high" else 1 - high
+    return min(1.0, max(0.0, v))
+
+
 def centroid(strengths: dict[str, Column], sets: dict[str, tuple], samples: int = 1000) -> Column:
-    """Centre of the clipped output sets over a grid of [0, 1]; 0.5 where nothing fired."""
-    grid = F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: i / F.lit(float(samples - 1)))
-    # strengths become one variable of the lambda, so that they are computed once per row
+    """Centre of the clipped output sets over a grid of [0, 1]; 0.5 where nothing fired.
+
+    The sets' heights over the grid are constant arrays; a row clips and combines them.
+    """
+    grid = [i / (samples - 1) for i in range(samples)]
+    constant = lambda values: F.array(*[F.lit(float(v)) for v in values])
     order = list(strengths)
 
-    def height(x, s):
-        parts = [F.least(s[k], membership(x, *sets[label])) for k, label in enumerate(order)]
-        return F.greatest(*parts) if len(parts) > 1 else parts[0]
+    def row(s):  # the strengths as one variable, so that they are computed once per row
+        height = None
+        for k, label in enumerate(order):
+            clipped = _clip(constant(_degree(x, *sets[label]) for x in grid), s, k)
+            height = clipped if height is None else F.zip_with(height, clipped, lambda p, q: F.greatest(p, q))
+        return F.transform(F.array(height), lambda h: F.struct(_total(F.zip_with(h, constant(grid), lambda p, x: p * x)).alias("a"), _total(h).alias("m")))[0]
+
+    total = F.transform(F.array(F.array(*[strengths[k] for k in order])), row)
+    return F.transform(total, lambda t: F.when(t["m"] > 0, t["a"] / t["m"]).otherwise(0.5))[0]
+
+
+def _clip(heights: Column, s: Column, k: int) -> Column:
+    return F.transform(heights, lambda m: F.least(s[k], m))
 
-    def row(s):
-        zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("m"))
-        total = F.aggregate(grid, zero, lambda acc, x: F.struct((acc["a"] + x * height(x, s)).alias("a"), (acc["m"] + height(x, s)).alias("m")))
-        return F.when(total["m"] > 0, total["a"] / total["m"]).otherwise(0.5)
 
-    return F.transform(F.array(F.array(*[strengths[k] for k in order])), row)[0]
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 
 
 def strongest(strengths: dict[str, Column], default: str) -> Column:

@@ -41,18 +41,22 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.when(size != 0, size)
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, threshold: float = -1.0, most: int = 10_000) -> DataFrame:
+def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, threshold: float = -1.0, block: int = 10_000) -> DataFrame:
     """(query, key, score, rank): the k vectors of greatest cosine for each of a stated set of queries.
 
-    Queries are checked to be at most ``most`` rows and broadcast; every task keeps k rows per
-    query before the shuffle.
+    Queries go in blocks of about ``block`` rows, each broadcast against all vectors; every
+    task keeps k rows per query before the shuffle.  Null and zero vectors have no score.
     """
-    if queries.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} queries")
-    q = F.broadcast(queries.select(F.col(key).alias("query"), F.col(vector).alias("_q")))
-    s = vectors.select(key, vector).crossJoin(q).select("query", key, cosine(F.col("_q"), F.col(vector)).alias("score")).filter(F.col("score") >= threshold)
-    w = Window.partitionBy("query").orderBy(F.col("score").desc(), key)
-    return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    n = queries.count()
+    blocks = max(1, -(-n // block))
+    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("_q"))
+    w, out = Window.partitionBy("query").orderBy(F.col("score").desc(), key), None
+    for i in range(blocks):
+        some = q if blocks == 1 else q.filter(F.pmod(F.xxhash64("query"), F.lit(blocks)) == i)
+        s = vectors.select(key, vector).crossJoin(F.broadcast(some)).select("query", key, cosine(F.col("_q"), F.col(vector)).alias("score")).filter(F.col("score") >= threshold)
+        best = s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        out = best if out is None else out.union(best)
+    return out
 
 
 def hashed_embedding(df: DataFrame, key: str, text: str, size: int = 256, n: int = 3) -> DataFrame:

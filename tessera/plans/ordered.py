@@ -164,10 +164,9 @@ def degree_centrality(spark, d):
     return graph.degrees(*_graph(spark, d)).select("id", "in_degree", "out_degree", F.round("centrality", 8).alias("centrality"))
 
 
-@query("WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, l_partkey % 50 + 100000 AS b FROM lineitem WHERE l_orderkey % 50 = l_suppkey % 50 AND l_linenumber = 1), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS id, a AS seen FROM u UNION SELECT r.id, u.b FROM r JOIN u ON r.seen = u.a) SELECT id, min(seen) AS component FROM r GROUP BY 1")
+@query("WITH w AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), m AS (SELECT 'customer:' || c_custkey AS id, r_name FROM w UNION SELECT 'nation:' || n_name, r_name FROM w UNION SELECT 'region:' || r_name, r_name FROM w) SELECT id, min(id) OVER (PARTITION BY r_name) AS component FROM m")
 def weak_components(spark, d):
-    e = table(spark, d, "lineitem").filter("l_orderkey % 50 = l_suppkey % 50 and l_linenumber = 1").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 50 + 100000).alias("dst")).distinct()
-    n = e.select(F.col("src").alias("id")).union(e.select("dst")).distinct()
+    n, e = _graph(spark, d)
     return graph.components(n, e)
 
 
