@@ -17,15 +17,15 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower_words, batches, id_bucket, stored, text_key
+from tessera.llm.common import ascii_lower_words, batches, id_bucket, stored
 
-HEAD = 20_000  # most words with emissions of their own, besides the end
+HEAD = 200_000  # most words with emissions of their own, besides the end
 END = b""  # no word is empty
 FLUSH = 200_000  # distinct words a task counts before it hands them on
 CELLS = 1_000_000  # padded positions of a batch of sequences
@@ -155,11 +155,12 @@ def expected(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.
 def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, rounds: int = 2) -> tuple[Model, dict]:
     """Fit the model on every training row; the driver holds only the K x (K + HEAD) table."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = counts.filter((F.col("c") * HEAD >= total) | (F.col("word") == F.lit(END))).orderBy("word").collect()  # at most HEAD + 1 rows
-    words, c = [bytes(r["word"]) for r in head], np.array([r["c"] for r in head], dtype=np.int64)
-    if END not in words:
+    head = counts.filter((F.col("c") * HEAD >= total) | (F.col("word") == F.lit(END))).orderBy("word").toArrow()  # at most HEAD + 1 rows
+    words, c = head["word"].to_pylist(), head["c"].to_numpy().astype(np.int64)
+    rare, rare_kinds = max(0, int(total) - int(c.sum())), int(distinct) - len(words)
+    known = dict(zip(words, c.tolist()))
+    if END not in known:
         words, c = [END, *words], np.append(1, c)
-    rare, rare_kinds = max(0, int(total) - int(sum(r["c"] for r in head))), int(distinct) - len(head)
     model = Model(words, c, rare, states)
     spark = docs.sparkSession
     history = []
@@ -172,7 +173,7 @@ def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, roun
 
             now, total_ = shared.value, np.zeros(width)
             for part in frames:
-                for rows in batches([part], ["doc_id", "text"], 8192):
+                for rows in batches([part], ["doc_id", "text"], 4096):
                     if seqs := [now.classes(t) for d, t in rows if in_training(d)]:
                         f, m, e, ll = expected(now, seqs)
                         total_ += np.concatenate([f, m.ravel(), e.ravel(), [ll]])
@@ -180,11 +181,11 @@ def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, roun
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total_[at], pa.float64())], names=["i", "x"])
 
         sums = np.zeros(width)
-        for r in docs.select("doc_id", "text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect():  # at most width rows
-            sums[r["i"]] = r["x"]
+        added = docs.select("doc_id", "text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()  # at most width rows
+        sums[added["i"].to_numpy()] = added["x"].to_numpy()
         model.updated(sums[:states], sums[states : states + states**2].reshape(states, states), sums[states + states**2 : -1].reshape(states, -1))
         history.append(float(sums[-1]))
-    return model, {"tokens": int(total), "kinds": int(distinct), "rare": rare, "rare_kinds": rare_kinds, "loglik": history}
+    return model, {"tokens": int(total), "kinds": int(distinct), "rare": rare, "rare_kinds": rare_kinds, "known": known, "loglik": history}
 
 
 def score(docs: DataFrame, in_training=lambda d: id_bucket(d, 7) != 2, states: int = 4, rounds: int = 2) -> DataFrame:
@@ -199,7 +200,7 @@ def score(docs: DataFrame, in_training=lambda d: id_bucket(d, 7) != 2, states: i
     spark, kind = docs.sparkSession, dict(slim.dtypes)["doc_id"]
     counts = stored(word_counts(slim, in_training), "hmm-counts")
     model, facts = train(slim, counts, in_training, states, rounds)
-    known = {bytes(r["word"]): r["c"] for r in counts.filter(F.col("word").isin([bytearray(w) for w in model.ids]) if len(model.ids) < 50 else (F.col("c") * HEAD >= facts["tokens"]) | (F.col("word") == F.lit(END))).collect()}
+    known = facts["known"]
     base_all = math.log10(facts["tokens"] + facts["kinds"] + 1)
     rare_all = math.log10(facts["rare"] + facts["rare_kinds"] + 1)
     shared = spark.sparkContext.broadcast((model, known))
@@ -208,39 +209,38 @@ def score(docs: DataFrame, in_training=lambda d: id_bucket(d, 7) != 2, states: i
         import pyarrow as pa
 
         now, c = shared.value
-        logs = {w: math.log10(c.get(w, 0) + 1) for w in now.ids}
-        names = ["doc_id", "key", "word", "n", "n_known", "base", "score", "whole"]
-        types = [None, pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32()]
+        head_counts = np.array([c.get(w, 0) for w in now.ids])
+        logs, there = np.log10(head_counts + 1), (head_counts > 0).astype(np.int64)
+        names = ["doc_id", "key", "n", "n_known", "base", "score", "words", "times"]
+        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
         for part in frames:
             types[0] = part.schema.field("doc_id").type
-            for rows in batches([part], ["doc_id", "text", "key"], 8192):
+            for rows in batches([part], ["doc_id", "text", "key"], 4096):
                 made, seqs = [], []
                 for d, t, key in rows:
                     words = ascii_lower_words(t)
                     words.append(END)
-                    seqs.append(now.classes(t))
-                    tally = Counter(words)
-                    base, n_known = 0.0, 0
-                    for w, n in tally.items():
-                        if w in logs:
-                            base += n * logs[w]
-                            n_known += n * (c.get(w, 0) > 0)
-                        else:
-                            made.append((d, key, w, n, None, None, None, 0))
-                    made.append((d, key, None, len(words), n_known, base, None, 1))
-                scores = iter((forward(now, seqs) / math.log(10)).tolist())
-                made = [m if not m[7] else (*m[:6], next(scores), 1) for m in made]
-                yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(types)], names=names)
-
-    scored = slim.withColumn("key", F.unhex(text_key(F.col("text")))).mapInArrow(run, f"doc_id {kind}, key binary, word binary, n bigint, n_known bigint, base double, score double, whole int")
+                    seqs.append(np.array(list(map(now.ids.get, words, repeat(len(now.ids)))), np.int32))
+                    rare = Counter(compress(words, (seqs[-1] == len(now.ids)).tolist()))
+                    head = np.bincount(seqs[-1])[: len(now.ids)]
+                    at = np.flatnonzero(head)
+                    base, n_known = float(head[at] @ logs[at]), int(head[at] @ there[at])
+                    made.append((d, key, len(words), n_known, base, b"\n".join(rare), np.fromiter(rare.values(), np.int32, len(rare))))
+                scores = (forward(now, seqs) / math.log(10)).tolist()
+                for k in range(0, len(made), 512):
+                    some = [(*m[:5], s, m[5].split(b"\n") if len(m[6]) else [], m[6].tolist()) for m, s in zip(made[k : k + 512], scores[k : k + 512])]
+                    yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in some], t) for i, t in enumerate(types)], names=names)
+
+    scored = slim.withColumn("key", F.xxhash64("text")).mapInArrow(run, f"doc_id {kind}, key bigint, n bigint, n_known bigint, base double, score double, words array<binary>, times array<int>")
     scored = stored(scored, "hmm-scored")
     n, c = F.col("n"), F.coalesce(F.col("c"), F.lit(0))
+    pairs = scored.select("doc_id", "key", F.explode(F.arrays_zip("words", "times")).alias("p")).select("doc_id", "key", F.col("p.words").alias("word"), F.col("p.times").alias("n"))
     rare = (
-        scored.filter("whole = 0").select("doc_id", "key", "word", "n").join(counts, "word", "left")
+        pairs.join(counts.hint("shuffle_hash"), "word", "left")
         .groupBy("doc_id", "key").agg(F.sum(F.when(c > 0, n).otherwise(0)).alias("n_known"), F.sum(n * F.log10(c + 1)).alias("base"), F.sum(n).alias("n_rare"))
         .select("doc_id", "key", F.lit(0).cast("bigint").alias("n"), "n_known", "base", F.lit(0.0).alias("score"), F.lit(0).alias("whole"), "n_rare")
     )
-    whole = scored.filter("whole = 1").drop("word").withColumn("n_rare", F.lit(0).cast("bigint"))
+    whole = scored.drop("words", "times").withColumn("whole", F.lit(1)).withColumn("n_rare", F.lit(0).cast("bigint"))
     # one shuffle of slim rows brings both parts of a text together; k counts repeats of the row
     both = whole.unionByName(rare).groupBy("doc_id", "key").agg(
         F.sum("whole").alias("k"), F.max("n").alias("n"),
