@@ -100,14 +100,13 @@ def co_authors(spark, d):
 
 
 @query(
-    """WITH t AS (SELECT o_custkey AS k, 'p' AS f, 0.4 AS w, o_orderpriority || strftime(o_orderdate, '%Y%m') AS tok FROM orders UNION SELECT o_custkey, 's', 0.3, o_orderstatus || strftime(o_orderdate, '%Y%m%d') FROM orders),
-    r AS (SELECT f, tok FROM t GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 40), u AS (SELECT t.* FROM t JOIN r USING (f, tok))
-    SELECT a.k AS a, b.k AS b, round(sum(a.w), 4)::DOUBLE AS score FROM u a JOIN u b ON a.f = b.f AND a.tok = b.tok AND a.k < b.k GROUP BY 1, 2"""
+    """WITH t AS (SELECT o_custkey AS k, 'p' AS f, 0.4 AS w, o_orderpriority || strftime(o_orderdate, '%Y%m%d') AS tok FROM orders UNION SELECT o_custkey, 's', 0.3, o_orderstatus || strftime(o_orderdate, '%Y%m%d') FROM orders)
+    SELECT a.k AS a, b.k AS b, round(sum(a.w), 4)::DOUBLE AS score FROM t a JOIN t b ON a.f = b.f AND a.tok = b.tok AND a.k < b.k GROUP BY 1, 2"""
 )
 def experiment_similarity(spark, d):
-    o = table(spark, d, "orders")
-    g = o.groupBy("o_custkey").agg(F.collect_set(F.concat("o_orderpriority", F.date_format("o_orderdate", "yyyyMM"))).alias("p"), F.collect_set(F.concat("o_orderstatus", F.date_format("o_orderdate", "yyyyMMdd"))).alias("s"))
-    return joins.weighted_pairs(g, "o_custkey", {"p": 0.4, "s": 0.3}, most=40).withColumn("score", F.round("score", 4))
+    o, day = table(spark, d, "orders"), F.date_format("o_orderdate", "yyyyMMdd")
+    g = o.groupBy("o_custkey").agg(F.collect_set(F.concat("o_orderpriority", day)).alias("p"), F.collect_set(F.concat("o_orderstatus", day)).alias("s"))
+    return joins.weighted_pairs(g, "o_custkey", {"p": 0.4, "s": 0.3}).withColumn("score", F.round("score", 4))
 
 
 @query(
