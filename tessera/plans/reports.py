@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import numeric as N
 from tessera.functions import text as X
-from tessera.operators import features, fusion, incremental, profile, project, retrieval, windows
+from tessera.operators import features, project
 from tessera.plans.registry import query
 from tessera.plans.tables import OBSERVATIONS, observations, table
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tessera.operators import features, joins, recommend, retrieval
+from tessera.operators import recommend, retrieval
 from tessera.plans.registry import query
 from tessera.plans.tables import table
 
