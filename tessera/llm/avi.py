@@ -13,8 +13,6 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

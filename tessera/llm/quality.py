@@ -110,10 +110,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str, in_training, sample: i
     return Classifier(seed).fit(made, seed)
 
 
-def scored(docs: DataFrame, model: Classifier) -> DataFrame:
-    """All columns of docs and ``quality_score``, 0 to 1, of the whole text; no shuffle."""
+def scored(docs: DataFrame, model: Classifier, name: str = "quality_score") -> DataFrame:
+    """All columns of docs and the score, 0 to 1, of the whole text under ``name`` (a column of that name is replaced); no shuffle."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model.weights())
     at = docs.columns.index("text")
 
@@ -145,9 +146,9 @@ def scored(docs: DataFrame, model: Classifier) -> DataFrame:
             for k in range(0, part.num_rows, 1024):
                 piece = part.slice(k, 1024)
                 scores = pa.array([float(score(t)) for t in piece.column(at).to_pylist()], pa.float64())
-                yield pa.RecordBatch.from_arrays([*piece.columns, scores], names=[*piece.schema.names, "quality_score"])
+                yield pa.RecordBatch.from_arrays([*piece.columns, scores], names=[*piece.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("quality_score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame, in_training=lambda d: id_bucket(d, 3) != 1) -> DataFrame:

@@ -12,7 +12,6 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from tessera.llm import avi, components, dac, hmm, mixing, pii, quality, queries, secrets, simhash, warc, winnow
 
