@@ -285,3 +285,32 @@ def treatment_regimes(spark, d):
 
     e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
     return drift(e, ["day", "event_type"], "value", N.clip(F.col("value") / 100, 0, 1)).withColumn("day", F.col("day").cast("string"))
+
+
+_KINDS = ["journal-article", "Review", "research", "letter"]
+_TITLES = ["Field trial of zinc", "Erratum: plot", "Yield of wheat", "A factorial study"]
+_ABSTRACTS = ["In silico work", "This review covers", "rcbd with four plots", "Prices"]
+
+
+def _pick(values, column):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (column % len(values) + 1).cast("int"))
+
+
+@query(
+    f"""WITH r AS (SELECT p_partkey, {_KINDS}[p_partkey % 4 + 1] AS k, {_TITLES}[p_size % 4 + 1] AS t, {_ABSTRACTS}[(p_partkey // 4) % 4 + 1] AS a FROM part)
+    SELECT p_partkey, k NOT IN ('Review', 'letter') AND t <> 'Erratum: plot' AND a <> 'This review covers' AND NOT (a = 'In silico work' AND t = 'Yield of wheat') AND (t IN ('Field trial of zinc', 'A factorial study') OR a = 'rcbd with four plots') AS original FROM r"""
+)
+def original_studies(spark, d):
+    from tessera.functions.literature import is_original
+
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select("p_partkey", is_original(_pick(_KINDS, k), _pick(_TITLES, F.col("p_size")), _pick(_ABSTRACTS, F.floor(k / 4))).alias("original"))
+
+
+@query("SELECT s.s_suppkey AS source_id, min(p.id) AS paper_id FROM supplier s JOIN (SELECT p_partkey * 3 AS id, p_size AS z FROM part) p ON p.id = s.s_suppkey OR (p.z = s.s_nationkey AND s.s_suppkey % 2 = 0) GROUP BY 1")
+def source_papers(spark, d):
+    from tessera.functions.literature import belongs_to
+
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("10.1234/n"), F.col("s_nationkey"))).alias("doi"), F.lit(None).cast("string").alias("title"))
+    p = table(spark, d, "part").select((F.col("p_partkey") * 3).alias("id"), F.concat(F.lit("https://doi.org/10.1234/N"), F.col("p_size")).alias("doi"), "p_name").withColumnRenamed("p_name", "title")
+    return belongs_to(s, p, F.substring("title", 1, 12))
