@@ -30,9 +30,14 @@ KNOWN = 300_000  # words whose sums a worker keeps
 
 
 def word_features(word: str) -> list[int]:
+    """Buckets of a word and its character 3- and 4-grams; of very long words only both ends count."""
     b = f"<{word}>"
-    grams = [b, *(b[i : i + 3] for i in range(len(b) - 2)), *(b[i : i + 4] for i in range(len(b) - 3))] if len(b) < 200 else [b[:100], b[-100:]]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
+    if len(b) >= 200:
+        grams = [b[:100], b[-100:]]
+    else:
+        b = b.encode() if b.isascii() else b
+        grams = [b, *[b[i : i + 3] for i in range(len(b) - 2)], *[b[i : i + 4] for i in range(len(b) - 3)]]
+    return [zlib.crc32(g if isinstance(g, bytes) else g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -122,24 +127,27 @@ def scored(docs: DataFrame, model: Classifier, name: str = "quality_score") -> D
         import pyarrow as pa
 
         weights, bias = shared.value
+        weight = weights.tolist()
         known: dict[str, complex] = {}
 
         def of(word):  # sum of the word's features, and their number as imaginary part
             f = word_features(word)
-            v = complex(weights[f].sum(), len(f))
-            if len(known) < KNOWN:
-                known[word] = v
-            return v
+            return complex(sum([weight[i] for i in f]), len(f))
 
         def score(text):
             words = (text or "").split()
-            total = 0j
-            for w in words:
-                total += known[w] if w in known else of(w)
+            look, new = known, set(words).difference(known)
+            if new:
+                made = {w: of(w) for w in new}
+                if len(known) + len(new) <= KNOWN:
+                    known.update(made)
+                else:
+                    look = {w: known[w] if w in known else made[w] for w in set(words)}
+            total = sum(map(look.__getitem__, words), 0j)
             s, n = total.real, total.imag
             if len(words) > 1:
                 same = sum(map(eq, words, words[1:])) / (len(words) - 1)
-                s, n = s + n * (same * weights[REPEAT] + (1 - same) * weights[CHANGE]), 2 * n
+                s, n = s + n * (same * weight[REPEAT] + (1 - same) * weight[CHANGE]), 2 * n
             return 1 / (1 + np.exp(-(s / (n + SHORT) + bias)))
 
         for part in frames:
