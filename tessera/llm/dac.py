@@ -23,7 +23,7 @@ from tessera.llm.common import batches, open_file, shared_dir, shuffle_partition
 CHUNK = 8
 BLOCK = 512  # bits of the bitmap for each entry of the directory
 FILE_IDS = 4_000_000  # ids after which a task starts another file
-KNOWN = 400_000  # pieces of text whose ids a worker keeps
+KNOWN = 600_000  # pieces of text whose ids a worker keeps
 END_ID = 0
 
 
@@ -100,49 +100,97 @@ class Reader:
         return self.slice(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+def _byte_letters() -> list[str]:
+    """The letter that a byte-level vocabulary writes for each byte: itself if printable, else one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+
+
 class PieceEncoder:
     """Ids of a text by the tokenizers library, with the ids of frequent pieces kept.
 
     A byte-level pattern cuts before every space that follows a character other than white
-    space, and merges never cross a cut, so ids of a text are those of its pieces in turn.  A
-    text where white space stands before a space, or that has a special token, is encoded whole.
+    space, and merges never cross a cut, so ids of a text are those of its pieces in turn: the
+    first word, then each further word with the space before it.  New pieces are cut by the
+    vocabulary's own pattern and each part is merged by the library's model.  A text where
+    white space stands before a space, or that has a special token, is encoded whole, as are
+    all texts where the file is not of this kind.
     """
 
     def __init__(self, path: str, known: int = KNOWN):
-        import re
+        import json
 
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile(r"\s |[\x1c-\x1f\x85] ")
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cut = spec.get("pre_tokenizer") or {}
+        plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+        self.by_pieces = bool(plain and spec.get("normalizer") is None and (spec.get("post_processor") or {"type": "ByteLevel"})["type"] == "ByteLevel")
+        self.parts = regex.compile(public_tokenizers.PATTERN).findall
+        self.letters = {b: c for b, c in enumerate(_byte_letters()) if chr(b) != c}
+        self.odd = regex.compile(r"[\s\x1c-\x1f] ").search
+        self.gaps = [c + " " for c in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f"]
+        self.merges: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.most = known
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _merged(self, part: str) -> bytes:
+        """Ids of one part of the pattern; frequent parts are kept like pieces."""
+        bare = part[1:] if part[0] == " " else part
+        if bare and bare.isascii() and bare.isprintable() and " " not in bare:  # only the space before has a letter of its own
+            letters = part if bare is part else self.letters[32] + bare
+        else:
+            letters = part.encode("utf-8").decode("latin1").translate(self.letters)
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+        if len(self.merges) < self.most:
+            self.merges[part] = ids
+        return ids
+
+    def piece(self, text: str) -> bytes:
+        """Ids of a short text without special tokens: the pattern's parts, each merged by the model."""
+        merges = self.merges
+        return b"".join([merges[p] if p in merges else self._merged(p) for p in self.parts(text)])
+
+    def _whole_only(self, t: str) -> bool:
+        space = any(g in t for g in self.gaps) if t.isascii() else self.odd(t) is not None
+        return space or any(s in t for s in self.special)
+
+    def _look(self, table: dict[str, bytes], words, before: str) -> dict[str, bytes]:
+        """A table that has all the words; new ones are kept while there is room."""
+        new = set(words).difference(table)
+        if not new:
+            return table
+        made = {w: self.piece(before + w) for w in new}
+        if len(table) + len(made) <= self.most:
+            table.update(made)
+            return table
+        return {w: made[w] if w in made else table[w] for w in set(words)}
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian u32 bytes, without the end."""
-        cut: list[list[str] | None] = []
-        for t in texts:
-            if self.odd.search(t) or any(s in t for s in self.special):
-                cut.append(None)
-            else:
-                first, *rest = t.split(" ")
-                cut.append([first, *[f" {r}" for r in rest]] if rest or first else [])
-        known = self.known
-        new = list({p for pieces in cut if pieces for p in pieces if p not in known})
-        extra = dict(zip(new, self.whole(new), strict=True)) if new else {}
-        for p, ids in extra.items():
-            if len(known) >= self.most:
-                break
-            known[p] = ids
-        look = {**extra}
-        whole = iter(self.whole([t for t, c in zip(texts, cut) if c is None]))
-        out = []
-        for c in cut:
-            out.append(next(whole) if c is None else b"".join([known[p] if p in known else look[p] for p in c]))
+        if not self.by_pieces:
+            return self.whole(texts)
+        odd = [self._whole_only(t) for t in texts]
+        rest, out = iter(self.whole([t for t, o in zip(texts, odd) if o])), []
+        for t, o in zip(texts, odd):
+            if o:
+                out.append(next(rest))
+                continue
+            words = t.split(" ")
+            head = words.pop(0)
+            known = self._look(self.known, words, " ")
+            out.append(self._look(self.first, [head], "")[head] + b"".join(map(known.__getitem__, words)))
         return out
 
 
@@ -182,7 +230,7 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame
         kind, end = None, np.array([END_ID], "<u4").tobytes()
         for part in frames:
             kind = part.schema.field("doc_id").type
-            for rows in batches([part], ["doc_id", "text"], 256):
+            for rows in batches([part], ["doc_id", "text"], 1024):
                 for (d, _), ids in zip(rows, encoder([t or "" for _, t in rows])):
                     held.append(ids + end)
                     doc_ids.append(d)
