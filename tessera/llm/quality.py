@@ -105,14 +105,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str, in_training, sample: i
         for part in frames:
             for rows in batches([part], ["doc_id", "y", "text"], 256):
                 made = [(d, y, *features(t)) for d, y, t in rows]
-                cols = [pa.array([m[0] for m in made], part.schema.field("doc_id").type), pa.array([m[1] for m in made], pa.int32()), pa.array([m[2] for m in made], pa.list_(pa.int64())), pa.array([m[3] for m in made], pa.list_(pa.float64()))]
+                cols = [pa.array([m[0] for m in made], part.schema.field("doc_id").type), pa.array([m[1] for m in made], pa.int32()), pa.array([m[2] for m in made], pa.list_(pa.int32())), pa.array([m[3] for m in made], pa.list_(pa.float32()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "y", "ids", "share"])
 
     kind = dict(slim.dtypes)["doc_id"]
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
-    rows = joined.select("doc_id", "y", "text").mapInArrow(run, f"doc_id {kind}, y int, ids array<bigint>, share array<double>").orderBy("doc_id").limit(2 * sample).toArrow()
-    made = [(y.as_py(), np.asarray(i.values), np.asarray(s.values)) for y, i, s in zip(rows["y"], rows["ids"], rows["share"])]
-    return Classifier(seed).fit(made, seed)
+    made = joined.select("doc_id", "y", "text").mapInArrow(run, f"doc_id {kind}, y int, ids array<int>, share array<float>")
+    rows = made.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")  # at most ``sample`` rows, one of each id
+    views = [(y.as_py(), i.values.to_numpy(), s.values.to_numpy()) for y, i, s in zip(rows["y"], rows["ids"], rows["share"])]
+    return Classifier(seed).fit(views, seed)
 
 
 def scored(docs: DataFrame, model: Classifier, name: str = "quality_score") -> DataFrame:
