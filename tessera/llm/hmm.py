@@ -8,8 +8,12 @@ tokens, which does not depend on the state.  So a sequence's likelihood is exact
     P(classes by the scaled forward recursion) * product over rare words of P(word | rare)
 
 Baum-Welch: each partition sums expected counts of its training rows in full, partitions
-are added up, the driver normalises the K x (K + HEAD) table.  The part of each text
-outside the head joins the word counts by word; no word of the join is frequent.
+are added up, the driver normalises the K x (K + HEAD) table.  Rounds over all training rows
+go on until the log likelihood (with the smoothing's prior) gained a share below TOLERANCE in
+CALM rounds in succession.  From states that are near-copies of each other EM stays on a
+plateau for some twenty rounds, so rounds start from the best of STARTS random models with
+lasting states, each fitted on a sample of training rows; the sample decides the start alone.
+The part of each text outside the head joins the word counts by word; no word of the join is frequent.
 """
 
 from __future__ import annotations
@@ -30,6 +34,10 @@ END = b""  # no word is empty
 FLUSH = 200_000  # distinct words a task counts before it hands them on
 CELLS = 1_000_000  # padded positions of a batch of sequences
 SMOOTH = 0.01  # added to each expected count
+TOLERANCE, CALM = 1e-4, 2  # training ends when so many rounds in succession gain less than this share
+MOST = 200  # rounds after which training that has not settled is an error
+SAMPLE, PREFIX, STARTS = 600, 20_000, 4  # rows of the start's sample, their characters, random starts
+PRIOR = 100  # tokens of the word counts that stand beside the sample's expected counts
 
 
 def word_counts(docs: DataFrame, in_training) -> DataFrame:
@@ -75,6 +83,10 @@ class Model:
         self.move = (move + SMOOTH) / (move + SMOOTH).sum(1, keepdims=True)
         self.emit = (emit + SMOOTH) / (emit + SMOOTH).sum(1, keepdims=True)
 
+    def prior(self) -> float:
+        """Log density, up to a constant, that SMOOTH puts on the tables; with it no round of Baum-Welch loses."""
+        return SMOOTH * float(np.log(self.first).sum() + np.log(self.move).sum() + np.log(self.emit).sum())
+
     def classes(self, text: str | None) -> np.ndarray:
         get, rare = self.ids.get, len(self.ids)
         words = ascii_lower_words(text)
@@ -152,8 +164,38 @@ def expected(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.
     return first, move * model.move, emit_sum, loglik
 
 
-def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, rounds: int = 2) -> tuple[Model, dict]:
-    """Fit the model on every training row; the driver holds only the K x (K + HEAD) table."""
+def _settled(history: list[float]) -> bool:
+    gains = [b - a < TOLERANCE * abs(b) for a, b in zip(history[:-1], history[1:])]
+    return len(gains) >= CALM and all(gains[-CALM:])
+
+
+def _started(docs: DataFrame, in_training, words: list[bytes], counts: np.ndarray, rare: int, rows: int, states: int) -> Model:
+    """The start of training: the best of STARTS random models after Baum-Welch on a sample of about SAMPLE rows."""
+    share = np.append(counts, max(rare, 1)).astype(float)
+    share /= share.sum()
+    at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(SAMPLE / max(rows, 1) * (1 << 30)) + 1
+    chosen = docs.filter(at).select("doc_id", F.substring("text", 1, PREFIX).alias("text")).limit(4 * SAMPLE).toArrow()
+    texts = sorted(t or "" for d, t in zip(chosen["doc_id"].to_pylist(), chosen["text"].to_pylist()) if in_training(d))
+    best, found = -math.inf, Model(words, counts, rare, states)
+    seqs = [found.classes(t) for t in texts]
+    for seed in range(STARTS if seqs else 0):
+        rng = np.random.default_rng(seed)
+        model = Model(words, counts, rare, states, seed)
+        model.emit = share * rng.random(model.emit.shape)
+        model.emit /= model.emit.sum(1, keepdims=True)
+        model.move = 0.7 * np.eye(states) + 0.3 * model.move
+        history: list[float] = []
+        while len(history) < MOST and not _settled(history):
+            first, move, emit, loglik = expected(model, seqs)
+            model.updated(first, move, emit + PRIOR * share)
+            history.append(loglik)
+        if history[-1] > best:
+            best, found = history[-1], model
+    return found
+
+
+def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, rounds: int | None = None) -> tuple[Model, dict]:
+    """Fit the model on every training row, until it settles or for at most ``rounds`` rounds; the driver holds the K x (K + HEAD) table and the start's sample."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     head = counts.filter((F.col("c") * HEAD >= total) | (F.col("word") == F.lit(END))).orderBy("word").toArrow()  # at most HEAD + 1 rows
     words, c = head["word"].to_pylist(), head["c"].to_numpy().astype(np.int64)
@@ -161,10 +203,12 @@ def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, roun
     known = dict(zip(words, c.tolist()))
     if END not in known:
         words, c = [END, *words], np.append(1, c)
-    model = Model(words, c, rare, states)
+    model = _started(docs, in_training, words, c, rare, known.get(END, 0), states)
     spark = docs.sparkSession
-    history = []
-    for _ in range(rounds):
+    history: list[float] = []
+    while not _settled(history) and (rounds is None or len(history) < rounds):
+        if len(history) >= MOST:
+            raise RuntimeError(f"training did not settle in {MOST} rounds")
         shared = spark.sparkContext.broadcast(model)
         width = states * (1 + states + len(words) + 1) + 1
 
@@ -183,12 +227,12 @@ def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, roun
         sums = np.zeros(width)
         added = docs.select("doc_id", "text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()  # at most width rows
         sums[added["i"].to_numpy()] = added["x"].to_numpy()
+        history.append(float(sums[-1]) + model.prior())
         model.updated(sums[:states], sums[states : states + states**2].reshape(states, states), sums[states + states**2 : -1].reshape(states, -1))
-        history.append(float(sums[-1]))
     return model, {"tokens": int(total), "kinds": int(distinct), "rare": rare, "rare_kinds": rare_kinds, "known": known, "loglik": history}
 
 
-def score(docs: DataFrame, in_training=lambda d: id_bucket(d, 7) != 2, states: int = 4, rounds: int = 2) -> DataFrame:
+def score(docs: DataFrame, in_training=lambda d: id_bucket(d, 7) != 2, states: int = 4, rounds: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
     docs: doc_id, text; other columns are ignored.  A null text is an empty one (its end

@@ -116,6 +116,19 @@ def test_training_raises_likelihood(spark):
     assert facts["loglik"] == sorted(facts["loglik"]) and facts["loglik"][-1] > facts["loglik"][0] + 1
 
 
+def test_hmm_states_are_trained_past_the_plateau(spark):
+    rng = random.Random(5)
+    vocabularies = [[f"{a}{i}" for i in range(30)] for a in "pqrs"]
+    texts = [" ".join(rng.choice(vocabularies[i % 4]) for _ in range(40)) for i in range(160)]
+    docs = docs_of(spark, texts)
+    _, facts = hmm.train(docs, hmm.word_counts(docs, lambda d: True), lambda d: True)
+    a, b, c = facts["loglik"][-3:]
+    assert c - b < hmm.TOLERANCE * abs(c) and b - a < hmm.TOLERANCE * abs(b)
+    held = [r for r in hmm.score(docs).collect() if r.held_out]
+    # a text of one of four vocabularies gains about log10(4) a word over the unigram
+    assert len(held) > 5 and all(r.score - r.base_score > 0.3 * r.n_tokens for r in held)
+
+
 # --- 3 ------------------------------------------------------------------------------------
 def brute_components(fps):
     parent = list(range(len(fps)))
