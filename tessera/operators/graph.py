@@ -91,17 +91,23 @@ def summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return base.crossJoin(e).crossJoin(c).withColumn("density", F.col("n_edges") / F.nullif(F.col("n_nodes") * (F.col("n_nodes") - 1), F.lit(0)))
 
 
-def distances(edges: DataFrame, start, most: int = 20, reverse: bool = False) -> DataFrame:
-    """(id, hops): directed breadth-first distances from a node; with reverse, of everything upstream of it."""
+def distances(edges: DataFrame, start, most: int | None = None, reverse: bool = False, bound: int = 1000) -> DataFrame:
+    """(id, hops): directed breadth-first distances from a node; with reverse, of everything upstream of it.
+
+    Goes on until no new node is met, or as far as ``most`` hops where that is what is asked for.
+    """
     src, dst = ("dst", "src") if reverse else ("src", "dst")
     spark = edges.sparkSession
     seen = spark.createDataFrame([(start, 0)], f"id {dict(edges.dtypes)['src']}, hops int")
-    front = seen
-    for k in range(1, most + 1):
+    front, k = seen, 0
+    while most is None or k < most:
+        k += 1
         step = edges.join(front, edges[src] == front.id).select(F.col(dst).alias("id")).distinct()
         front = written(step.join(seen, "id", "left_anti").withColumn("hops", F.lit(k)), "front")
         if front.limit(1).count() == 0:
             break
+        if k > bound:
+            raise RuntimeError(f"nodes more than {bound} hops away")
         seen = written(seen.union(front), "seen")
     return seen
 

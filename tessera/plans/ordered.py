@@ -187,6 +187,18 @@ def upstream_lineage(spark, d):
     return graph.distances(_chain(spark, d), 5, most=2, reverse=True)
 
 
+@query()
+def shortest_paths_whole(spark, d):
+    """shortest_paths without the bound that its SQL sets."""
+    return graph.distances(_chain(spark, d), 0)
+
+
+@query()
+def upstream_lineage_whole(spark, d):
+    """upstream_lineage without the bound that its SQL sets."""
+    return graph.distances(_chain(spark, d), 5, reverse=True)
+
+
 @query()
 def page_rank(spark, d):
     n, e = _graph(spark, d)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from tessera.operators import features, fusion, graph, incremental, joins, ml, p
 from tessera.sources import files, landed
 from tessera.streaming import events
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 def rows(df, *order):
     return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
@@ -97,6 +100,27 @@ def test_graph(spark):
     assert [r.o for r in graph.transition_errors(log, "k", "o", "s", ["a", "b"]).collect()] == [3]
 
 
+def test_distances_reach_every_node(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(23)], "src int, dst int").coalesce(1)
+    assert rows(graph.distances(e, 0), "id") == [(i, i) for i in range(24)]
+    with pytest.raises(RuntimeError):
+        graph.distances(e, 0, bound=3)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name,start,reverse", [("shortest_paths_whole", 0, False), ("upstream_lineage_whole", 5, True)])
+def test_whole_searches_equal_a_plain_search(spark, name, start, reverse):
+    from tessera.plans import ordered, registry
+
+    links = [(r.dst, r.src) if reverse else (r.src, r.dst) for r in ordered._chain(spark, SF).collect()]
+    want, front, k = {start: 0}, {start}, 0
+    while front:
+        k += 1
+        front = {b for a, b in links if a in front} - want.keys()
+        want |= dict.fromkeys(front, k)
+    assert dict(rows(registry.queries()[name](spark, SF))) == want
+
+
 def test_incremental(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", None)], "k int, s string, n int")
     new = spark.createDataFrame([(2, None, 5), (3, "c", 6)], "k int, s string, n int")
