@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
@@ -26,18 +27,23 @@ EPOCHS = 4
 RATE = 0.3
 SHORT = 100  # features of no meaning in every average: a text of a few words stays near the prior
 REPEAT, CHANGE = BUCKETS, BUCKETS + 1  # features of word pairs
-KNOWN = 300_000  # words whose sums a worker keeps
+KNOWN, LONG = 300_000, 200  # words whose sums a worker keeps, and the length from which it does not
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of a word and its character 3- and 4-grams; of very long words only both ends count."""
+def word_features(word: str) -> Iterator[int]:
+    """Buckets of a word and its character 3- and 4-grams, one at a time: a text without white space is one word."""
     b = f"<{word}>"
-    if len(b) >= 200:
-        grams = [b[:100], b[-100:]]
+    if b.isascii():
+        b = b.encode()
+        yield zlib.crc32(b) % BUCKETS
+        for n in (3, 4):
+            for i in range(len(b) - n + 1):
+                yield zlib.crc32(b[i : i + n]) % BUCKETS
     else:
-        b = b.encode() if b.isascii() else b
-        grams = [b, *[b[i : i + 3] for i in range(len(b) - 2)], *[b[i : i + 4] for i in range(len(b) - 3)]]
-    return [zlib.crc32(g if isinstance(g, bytes) else g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
+        yield zlib.crc32(b.encode("utf-8", "surrogatepass")) % BUCKETS
+        for n in (3, 4):
+            for i in range(len(b) - n + 1):
+                yield zlib.crc32(b[i : i + n].encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -132,8 +138,11 @@ def scored(docs: DataFrame, model: Classifier, name: str = "quality_score") -> D
         known: dict[str, complex] = {}
 
         def of(word):  # sum of the word's features, and their number as imaginary part
-            f = word_features(word)
-            return complex(sum([weight[i] for i in f]), len(f))
+            s, n = 0.0, 0
+            for i in word_features(word):
+                s += weight[i]
+                n += 1
+            return complex(s, n)
 
         def score(text):
             words = (text or "").split()
@@ -141,8 +150,8 @@ def scored(docs: DataFrame, model: Classifier, name: str = "quality_score") -> D
             if new:
                 made = {w: of(w) for w in new}
                 if len(known) + len(new) <= KNOWN:
-                    known.update(made)
-                else:
+                    known.update((w, x) for w, x in made.items() if len(w) < LONG)
+                if not new <= known.keys():
                     look = {w: known[w] if w in known else made[w] for w in set(words)}
             total = sum(map(look.__getitem__, words), 0j)
             s, n = total.real, total.imag

@@ -209,6 +209,20 @@ def test_quality_learns_and_holds_out(spark):
     assert {r.score for r in quality.quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_reads_long_words_whole(spark):
+    for word in ("ab" * 150 + "xyz" + "cd" * 150, "試験" * 150 + "小麦" + "土壌" * 150):
+        b = f"<{word}>"
+        grams = [b, *[b[i : i + n] for n in (3, 4) for i in range(len(b) - n + 1)]]
+        assert list(quality.word_features(word)) == [zlib.crc32(g.encode()) % quality.BUCKETS for g in grams]
+    # texts without white space, alike at both ends, told apart by their middle alone
+    rng = random.Random(4)
+    middle = lambda i: "".join(rng.choice("麦稲豆芋" if i % 2 else "売買金安") for _ in range(300))
+    texts = ["序" * 100 + middle(i) + "終" * 100 for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    held = [r for r in quality.quality(docs_of(spark, texts), labels).collect() if r.held_out]
+    assert held and all(r.predicted == r.doc_id % 2 for r in held)
+
+
 # --- 5 ------------------------------------------------------------------------------------
 def brute_contamination(texts, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
