@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import OXIDES, labels, normalize_doi, publication_type, title_similarity
+from tessera.functions.text import OXIDES, labels, normalize_doi, normalize_title, publication_type, title_similarity
 
 # Types, words and designs that tell original experiments from other texts
 NOT_ORIGINAL = ["review", "book-review", "editorial", "letter", "editorial-letter", "conference-abstract", "proceedings-abstract", "meeting-abstract", "patent", "patent-application", "retraction", "corrigendum", "erratum", "reference-entry"]
@@ -78,14 +78,24 @@ def basis(label: str) -> tuple[str, str | None]:
     return ("elemental", named[0]) if named else ("unknown", None)
 
 
-def belongs_to(sources: DataFrame, papers: DataFrame, block: Column, least: float = 0.95) -> DataFrame:
-    """(source_id, paper_id): the same id, the same DOI, or titles alike inside a block; the smallest paper wins.
+def belongs_to(sources: DataFrame, papers: DataFrame, block: Column | None = None, least: float = 0.95) -> DataFrame:
+    """(source_id, paper_id): the same id, the same DOI, or titles alike (with a block, only inside it); the smallest paper wins.
 
     Both sides: id, doi, title.  A union of equi-joins, never a disjunctive join.
     """
-    s = sources.select(F.col("id").alias("source_id"), normalize_doi(F.col("doi")).alias("doi"), "title", block.alias("b"))
-    p = papers.select(F.col("id").alias("paper_id"), normalize_doi(F.col("doi")).alias("doi"), F.col("title").alias("paper_title"), block.alias("b"))
+    b = F.lit(None) if block is None else block
+    s = sources.select(F.col("id").alias("source_id"), normalize_doi(F.col("doi")).alias("doi"), "title", b.alias("b"))
+    p = papers.select(F.col("id").alias("paper_id"), normalize_doi(F.col("doi")).alias("doi"), F.col("title").alias("paper_title"), b.alias("b"))
     same = s.join(p.select("paper_id"), s.source_id == F.col("paper_id")).select("source_id", "paper_id")
     doi = s.join(p.select("paper_id", "doi"), "doi").select("source_id", "paper_id")
-    alike = s.join(p.select("paper_id", "paper_title", "b"), "b").filter(title_similarity(F.col("title"), F.col("paper_title")) >= least).select("source_id", "paper_id")
+    if block is None:
+        from tessera.operators.fusion import title_pairs
+
+        n, m = s.select("source_id", normalize_title(F.col("title")).alias("p")).filter("p <> ''"), p.select("paper_id", normalize_title(F.col("paper_title")).alias("q")).filter("q <> ''")
+        # the smallest paper of a title stands for all
+        m = m.groupBy("q").agg(F.min("paper_id").alias("paper_id"))
+        pairs = title_pairs(n.select(F.col("p").alias("n")).union(m.select("q")).distinct(), least).select("p", "q")
+        alike = n.join(pairs, "p").join(m, "q").select("source_id", "paper_id").union(n.join(m, F.col("p") == F.col("q")).select("source_id", "paper_id"))
+    else:
+        alike = s.join(p.select("paper_id", "paper_title", "b"), "b").filter(title_similarity(F.col("title"), F.col("paper_title")) >= least).select("source_id", "paper_id")
     return same.union(doi).union(alike).groupBy("source_id").agg(F.min("paper_id").alias("paper_id"))

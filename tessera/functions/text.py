@@ -179,13 +179,18 @@ def safe_name(c: Column) -> Column:
     return F.regexp_replace(c, "[^A-Za-z0-9_.-]+", "_")
 
 
-def title_similarity(a: Column, b: Column) -> Column:
-    """Ratcliff-Obershelp ratio of two normalised titles, 0 where one is missing.  Arrow batches; run it after blocking."""
+def ratio(a: Column, b: Column) -> Column:
+    """Ratcliff-Obershelp ratio of two texts, 0 where one is missing or empty.  Arrow batches."""
 
     @F.pandas_udf("double")
-    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+    def of(x: pd.Series, y: pd.Series) -> pd.Series:
         from difflib import SequenceMatcher
 
         return pd.Series([SequenceMatcher(None, p, q).ratio() if p and q else 0.0 for p, q in zip(x, y)])
 
+    return of(a, b)
+
+
+def title_similarity(a: Column, b: Column) -> Column:
+    """Ratcliff-Obershelp ratio of two normalised titles, 0 where one is missing.  Arrow batches; run it after blocking."""
     return ratio(normalize_title(a), normalize_title(b))

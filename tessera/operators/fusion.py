@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +77,65 @@ def similar_titles(df: DataFrame, key: str, title: str, block: Column, threshold
     return pairs.select(F.col("a.k").alias("a"), F.col("b.k").alias("b"), title_similarity(F.col("a.t"), F.col("b.t")).alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
+GRAM = 6  # letters of the pieces through which titles meet
+
+
+def title_pairs(titles: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """(p, q, similarity) of all ordered pairs of titles whose ratio reaches the threshold; titles: distinct n, normalised.
+
+    Complete: such a pair differs by at most (1 - threshold) * (both lengths) deleted and added
+    letters, each of which breaks at most GRAM pieces.  So the rarest GRAM * letters + 1 pieces of both have
+    one in common.  Titles with fewer pieces meet all titles of like length.  Counts of letters
+    sift the pairs before the ratio is taken.
+    """
+    from tessera.functions.text import ratio
+    from tessera.operators.graph import written
+
+    gap, size = 1 - threshold, F.length("n")
+    letters = F.floor(gap * (size + F.floor(size * (2 - threshold) / threshold + 1e-9)) + 1e-9).cast("int")
+    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size - GRAM + 1, F.lit(1))), lambda i: F.substring(F.col("n"), i, F.lit(GRAM))))
+    t = written(titles.filter("n <> ''").select("n", pieces.alias("gs"), (letters * GRAM).alias("broken")), "titles")
+    each = t.select("n", "broken", F.explode("gs").alias("g"))
+    ranked = each.join(each.groupBy("g").agg(F.count("*").alias("c")), "g").groupBy("n", "broken").agg(F.sort_array(F.collect_list(F.struct("c", "g"))).alias("r"))
+    keys = ranked.select("n", F.explode(F.slice("r", F.lit(1), F.col("broken") + 1)).alias("k")).filter("k.c > 1").select("n", F.col("k.g").alias("g"))
+    keys = written(keys, "pieces")
+    met = keys.select("g", F.col("n").alias("p")).join(keys.select("g", F.col("n").alias("q")), "g").filter("p < q").select("p", "q")
+    near = F.explode(F.sequence(F.floor(size * threshold / (2 - threshold)), F.ceil(size * (2 - threshold) / threshold)))
+    few = t.filter("broken > 0 and size(gs) <= broken").select(F.col("n").alias("a"), near.alias("size"))
+    few = few.join(t.select(F.col("n").alias("b"), F.length("n").cast("bigint").alias("size")), "size").filter("a <> b").select(F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
+    long = lambda c: F.length(c)
+    pairs = met.union(few).filter(F.abs(long("p") - long("q")) <= gap * (long("p") + long("q")) + 1e-9)
+
+    @F.pandas_udf("boolean")
+    def like(p: pd.Series, q: pd.Series) -> pd.Series:
+        import numpy as np
+
+        def counts(s):
+            b = [x.encode() for x in s]  # normalised titles are ASCII
+            row = np.repeat(np.arange(len(b)), [len(x) for x in b])
+            return np.bincount(row * 128 + np.frombuffer(b"".join(b), np.uint8), minlength=len(b) * 128).reshape(-1, 128)
+
+        a, b = counts(p), counts(q)
+        return pd.Series(np.abs(a - b).sum(1) <= gap * (a + b).sum(1) + 1e-9)
+
+    pairs = pairs.filter(like("p", "q")).distinct()
+    both = written(pairs.union(pairs.select("q", "p")), "pairs")
+    return both.withColumn("similarity", ratio(F.col("p"), F.col("q"))).filter(F.col("similarity") >= threshold)
+
+
+def all_similar_titles(df: DataFrame, key: str, title: str, threshold: float = 0.95) -> DataFrame:
+    """(a, b, similarity) with a < b of all titles alike, wherever they differ; titles without letters are left out."""
+    from tessera.functions.text import normalize_title
+    from tessera.operators.graph import written
+
+    t = written(df.select(F.col(key).alias("k"), normalize_title(F.col(title)).alias("n")).filter("n <> ''"), "normalised")
+    pairs = title_pairs(t.select("n").distinct(), threshold)
+    a, b = t.select(F.col("k").alias("a"), F.col("n").alias("p")), t.select(F.col("k").alias("b"), F.col("n").alias("q"))
+    alike = pairs.join(a, "p").join(b, "q").filter("a < b").select("a", "b", "similarity")
+    equal = a.join(b, F.col("p") == F.col("q")).filter("a < b").select("a", "b", F.lit(1.0).alias("similarity"))
+    return alike.union(equal)
+
+
 def hierarchy_ids(df: DataFrame, parent: str, child: str) -> DataFrame:
     """Positional number of a child inside its parent (dense rank), as ``<parent>_E<n>``."""
     n = F.dense_rank().over(Window.partitionBy(parent).orderBy(child))

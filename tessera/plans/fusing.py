@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions import text as X
 from tessera.functions.numeric import bin_key
 from tessera.operators import fusion, joins
 from tessera.plans.registry import query
@@ -54,9 +53,9 @@ def record_deduplication(spark, d):
 
 @query()
 def near_titles(spark, d):
-    """Titles alike at 0.95 or more inside blocks of equal first forty letters of the normalised title."""
+    """All pairs of titles alike at 0.95 or more."""
     docs = table(spark, d, "documents").withColumn("title", F.substring("text", 1, 80)).groupBy("title").agg(F.min("doc_id").alias("doc_id"))
-    return fusion.similar_titles(docs, "doc_id", "title", F.nullif(F.substring(X.normalize_title(F.col("title")), 1, 40), F.lit("")))
+    return fusion.all_similar_titles(docs, "doc_id", "title")
 
 
 @query("SELECT o_custkey, o_orderkey, o_custkey || '_E' || dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS experiment_id FROM orders")

@@ -24,3 +24,9 @@ def test_belongs_to(spark):
     s = spark.createDataFrame([(1, None, "Effect of zinc on wheat yield"), (2, "doi:10.1234/a", None), (3, None, None), (9, None, None)], "id int, doi string, title string")
     p = spark.createDataFrame([(5, "10.1234/A", "x"), (6, None, "Effect of zinc on wheat yields"), (9, None, None)], "id int, doi string, title string")
     assert sorted(tuple(r) for r in L.belongs_to(s, p, F.substring("title", 1, 8)).collect()) == [(1, 6), (2, 5), (9, 9)]
+
+
+def test_belongs_to_meets_titles_that_differ_at_the_start(spark):
+    s = spark.createDataFrame([(1, None, "An effect of zinc on wheat yield in the field"), (2, None, "Zinc!"), (3, None, None)], "id int, doi string, title string")
+    p = spark.createDataFrame([(7, None, "The effect of zinc on wheat yield in the fields"), (5, None, "En effect of zinc on wheat yield in the field"), (8, None, "zinc"), (6, None, "ZINC")], "id int, doi string, title string")
+    assert sorted(tuple(r) for r in L.belongs_to(s, p).collect()) == [(1, 5), (2, 6)]

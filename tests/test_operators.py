@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +47,26 @@ def test_similar_titles_meet_in_blocks(spark):
     assert [r[:2] for r in rows(fusion.similar_titles(df, "id", "t", F.substring("t", 1, 6)))] == [(1, 2)]
 
 
+def test_all_similar_titles_equal_brute_force(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(2)
+    base = ["".join(rng.choice("abcd efgh") for _ in range(n)) for n in (10, 11, 12, 15, 19, 20, 21, 40, 60, 80, 80)] + ["a a " * 15, "ab" * 11, "x" * 30]
+    titles = list(base)
+    for t in base * 6:
+        for _ in range(rng.randint(1, max(1, len(t) // 14))):  # edits anywhere, the start as well
+            at = rng.randrange(len(t) + 1)
+            t = t[:at] + rng.choice(["", "z", "q"]) + t[at + rng.randint(0, 1) :]
+        titles.append(t)
+    titles += ["Zinc, on wheat!", "zinc on wheat", "", "!!", None]
+    df = spark.createDataFrame(list(enumerate(titles)), "id int, t string")
+    norm = [re.sub("[^a-z0-9]+", " ", (t or "").lower()).strip() for t in titles]
+    brute = {(i, j): r for j in range(len(norm)) for i in range(j) if norm[i] and norm[j] and (r := SequenceMatcher(None, norm[i], norm[j]).ratio()) >= 0.95}
+    got = fusion.all_similar_titles(df, "id", "t").collect()
+    assert len(got) == len(brute) > 50 and {(r.a, r.b): r.similarity for r in got} == pytest.approx(brute)
+
+
 def test_profiles_of_empty_and_null_columns(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 1.0)], "a double, b double")
     assert rows(profile.missing(df, ["a", "b"]), "column_name") == [("a", 2, 0, 100.0), ("b", 0, 2, 0.0)]
