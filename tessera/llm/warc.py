@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import zlib
 from collections.abc import Iterator
 
@@ -92,7 +93,8 @@ def salvage(f, most: int = 1 << 30) -> Iterator[tuple[str, int, int, dict, bytes
     """("record", offset, length, headers, block) of each sound record, ("gap", offset, length, {reason}, b"") of bytes skipped.
 
     Reads the file piece by piece and keeps one record (``most`` bytes at most) in memory.
-    Archives may hold gzip members, plain records, or both.
+    Archives may hold gzip members, plain records, or both.  Several records of one member
+    have its offset, and the last has its length; what does not parse in it is a gap as well.
     """
     s, gap, reason = _Stream(f), None, ""
     while True:
@@ -113,7 +115,18 @@ def salvage(f, most: int = 1 << 30) -> Iterator[tuple[str, int, int, dict, bytes
                         raise ValueError("member too long")
                     if not s.more():
                         raise ValueError("member cut short")
-                headers, block = parse(bytes(plain))
+                plain = bytes(plain)
+                try:
+                    headers, block = parse(plain)
+                    found = [("record", 0, 0, headers, block)]
+                    single = len(plain) == plain.index(b"\r\n\r\n") + 8 + len(block)
+                except ValueError:
+                    found, single = [], False
+                if not single:  # several records, or a damaged one
+                    inner = list(salvage(io.BytesIO(plain), most))
+                    found = inner if any(e[0] == "record" for e in inner) else found
+                if not found:
+                    parse(plain)  # raises
             elif s.buf.startswith(VERSION):
                 while (end := s.buf.find(b"\r\n\r\n")) < 0:
                     if len(s.buf) > READ or not s.more():
@@ -125,7 +138,7 @@ def salvage(f, most: int = 1 << 30) -> Iterator[tuple[str, int, int, dict, bytes
                 while len(s.buf) < used:
                     if not s.more():
                         raise ValueError("record cut short")
-                headers, block = parse(bytes(s.buf[:used]))
+                found = [("record", 0, 0, *parse(bytes(s.buf[:used])))]
             else:
                 raise ValueError("no record here")
         except (ValueError, zlib.error) as e:
@@ -138,7 +151,8 @@ def salvage(f, most: int = 1 << 30) -> Iterator[tuple[str, int, int, dict, bytes
         if gap is not None:
             yield "gap", gap, s.base - gap, {"reason": reason}, b""
             gap = None
-        yield "record", s.base, used, headers, block
+        for i, (kind, at, _, h, b) in enumerate(found, 1):
+            yield kind, s.base, used if i == len(found) else 0, h | {"reason": f"at byte {at} of the member: {h['reason']}"} if kind == "gap" else h, b
         s.drop(used)
     if gap is not None:
         yield "gap", gap, s.base - gap, {"reason": reason}, b""

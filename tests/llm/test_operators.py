@@ -464,6 +464,17 @@ def test_salvage_recovers_what_is_whole(zipped):
         assert sum(n for _, n in covered) == len(data) and all(a + n == b for (a, n), (b, _) in zip(covered, covered[1:]))
 
 
+def test_salvage_reads_all_records_of_a_member():
+    raw = [warc.record("response", {"WARC-Record-ID": str(i), "WARC-Block-Digest": f"sha1:{warc.digest32(b)}"}, b) for i, b in enumerate([b"one", b"", b"three" * 50])]
+    whole = warc.member(b"".join(raw))
+    data = whole + warc.member(raw[0]) + warc.member(raw[0] + b"junk" + raw[1]) + warc.member(raw[2] + b"no record") + warc.member(raw[2].replace(b"three", b"throe", 1) + raw[1])
+    got = list(warc.salvage(io.BytesIO(data)))
+    assert [h["WARC-Record-ID"] if k == "record" else k for k, _, _, h, _ in got] == ["0", "1", "2", "0", "0", "gap", "1", "2", "gap", "gap", "1"]
+    assert [b for k, _, _, _, b in got[:3]] == [b"one", b"", b"three" * 50]
+    covered = sorted((at, n) for _, at, n, _, _ in got)
+    assert sum(n for _, n in covered) == len(data) and all(a + n == b for (a, n), (b, _) in zip(covered, covered[1:]))
+
+
 # --- pipeline -----------------------------------------------------------------------------
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
