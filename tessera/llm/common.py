@@ -8,7 +8,6 @@ name of their own attempt and renamed when complete, so a task that is run again
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zlib
@@ -29,8 +28,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if "://" not in base and not base.startswith("file:"):
-        base = "file://" + os.path.abspath(base)
+    # a bare path is one of the cluster's default file system
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    base = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if base.startswith("file:/") and not base.startswith("file://"):
+        base = "file://" + base.removeprefix("file:")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -87,6 +89,19 @@ def id_bucket(doc_id, modulus: int) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % modulus
 
 
+def id_remainder(doc_id: Column, modulus: int) -> Column:
+    """``id_bucket`` as a column."""
+    return F.pmod(F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "utf-8")), F.lit(modulus))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Each name after as many underscores as make it none of df's columns."""
+    there, lead = {c.lower() for c in df.columns}, "_"
+    while any(f"{lead}{n}".lower() in there for n in names):
+        lead += "_"
+    return [f"{lead}{n}" for n in names]
+
+
 def text_key(text: Column) -> Column:
     """A 128-bit key of a text: rows with one id and one key are repeats of one row."""
     return F.md5(F.coalesce(text, F.lit("")))

@@ -1,10 +1,11 @@
 """Quality classifier: supervised subword embeddings.
 
 A text is the average of learned vectors of hashed features: each word, the character
-3- and 4-grams of the word between brackets, and the pattern of each word pair (a word
-repeated at once, or not).  A softmax over two labels stands on the average.  Vectors and
-softmax are trained by numpy stochastic gradient descent on a bounded sample of labelled
-rows.  Because the output is linear in the average, scoring needs one number per feature.
+3- and 4-grams of the word between brackets, and the character skip-bigram of each two
+neighbouring words (their first characters).  A softmax over two labels stands on the
+average.  Vectors and softmax are trained by numpy stochastic gradient descent on a bounded
+sample of labelled rows.  Because the output is linear in the average, scoring needs one
+number per feature.
 """
 
 from __future__ import annotations
@@ -12,22 +13,22 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from operator import eq
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches, id_bucket
+from tessera.llm.common import batches, id_remainder, stored
 
 BUCKETS = 1 << 17
 DIM = 8
-SAMPLE = 4000  # most labelled rows that the model is fitted on, the smallest by md5 of the id
-EPOCHS = 4
-RATE = 0.3
+SAMPLE = 4000  # most labelled rows that the model is fitted on, the first by md5 of the id
+FEATURES = 16_000_000  # ... and most features of those rows together, 8 bytes each on the driver
+EPOCHS = 8
+RATE = 0.8
 SHORT = 100  # features of no meaning in every average: a text of a few words stays near the prior
-REPEAT, CHANGE = BUCKETS, BUCKETS + 1  # features of word pairs
-KNOWN, LONG = 300_000, 200  # words whose sums a worker keeps, and the length from which it does not
+KNOWN, LONG = 150_000, 200  # words whose sums a worker keeps, and the length from which it does not
+SPREAD = np.uint64(0x9E3779B97F4A7C15)  # multiplicative hashing
 
 
 def word_features(word: str) -> Iterator[int]:
@@ -46,26 +47,31 @@ def word_features(word: str) -> Iterator[int]:
                 yield zlib.crc32(b[i : i + n].encode("utf-8", "surrogatepass")) % BUCKETS
 
 
+def pair_features(words: list[str]) -> np.ndarray:
+    """Bucket of the first characters of each two neighbouring words."""
+    first = np.frombuffer("".join([w[0] for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    return ((first[:-1] << np.uint64(21) | first[1:]) * SPREAD >> np.uint64(47)).astype(np.int64)
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Feature ids and their shares of the text (empty text: none)."""
+    """Feature ids, ascending, and their shares of the text (empty text: none)."""
     words = (text or "").split()
     tally: Counter = Counter()
     for w, n in Counter(words).items():
         for f in word_features(w):
             tally[f] += n
-    same = sum(map(eq, words, words[1:]))
-    weight = sum(tally.values())
-    if len(words) > 1:  # pairs weigh as much as the words' features do together
-        tally[REPEAT], tally[CHANGE] = weight * same / (len(words) - 1), weight * (1 - same / (len(words) - 1))
-    ids = np.fromiter(tally.keys(), np.int64, len(tally))
-    share = np.fromiter(tally.values(), float, len(tally))
+    ids, share = np.unique(pair_features(words), return_counts=True) if len(words) > 1 else (np.zeros(0, np.int64),) * 2
+    for f, n in zip(ids.tolist(), share.tolist()):
+        tally[f] += n
+    ids = np.array(sorted(tally), np.int64)
+    share = np.array([tally[f] for f in ids.tolist()], float)
     return ids, share / (share.sum() + SHORT)
 
 
 class Classifier:
     def __init__(self, seed: int = 0):
         rng = np.random.default_rng(seed)
-        self.vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 2, DIM))
+        self.vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
         self.out, self.bias = np.zeros((2, DIM)), np.zeros(2)
 
     def fit(self, rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 0) -> "Classifier":
@@ -97,28 +103,39 @@ class Classifier:
         return self.vectors @ (self.out[1] - self.out[0]), float(self.bias[1] - self.bias[0])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, in_training, sample: int = SAMPLE, seed: int = 0) -> Classifier:
-    """Fit on at most ``sample`` labelled rows; ids and labels that are null are left out."""
-    from pyspark.sql.types import BooleanType
+def in_training(doc_id: Column) -> Column:
+    """The fold that labels are learnt from."""
+    return id_remainder(doc_id, 3) != 1
+
 
-    keep = F.udf(in_training, BooleanType())
-    slim = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
-    chosen = slim.groupBy("doc_id").agg(F.max("y").alias("y")).filter(keep("doc_id")).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
+def train(docs: DataFrame, labels: DataFrame, label: str, fold=in_training, sample: int = SAMPLE, most: int = FEATURES, seed: int = 0) -> Classifier:
+    """Fit on labelled rows of the fold, the first by md5 of the id: at most ``sample`` rows of ``most`` features in all.
+
+    Ids and labels that are null are left out; of an id's several labels the largest counts,
+    of its several texts the first by md5, so reruns agree.
+    """
+    slim = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").withColumn("nth", F.md5(F.col("doc_id").cast("string")))
+    chosen = slim.filter(fold(F.col("doc_id"))).groupBy("doc_id", "nth").agg(F.max("y").alias("y")).orderBy("nth", "doc_id").limit(sample)
 
     def run(frames):
         import pyarrow as pa
 
+        names = ["nth", "y", "n", "ids", "share"]
+        types = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         for part in frames:
-            for rows in batches([part], ["doc_id", "y", "text"], 256):
-                made = [(d, y, *features(t)) for d, y, t in rows]
-                cols = [pa.array([m[0] for m in made], part.schema.field("doc_id").type), pa.array([m[1] for m in made], pa.int32()), pa.array([m[2] for m in made], pa.list_(pa.int32())), pa.array([m[3] for m in made], pa.list_(pa.float32()))]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "y", "ids", "share"])
-
-    kind = dict(slim.dtypes)["doc_id"]
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
-    made = joined.select("doc_id", "y", "text").mapInArrow(run, f"doc_id {kind}, y int, ids array<int>, share array<float>")
-    rows = made.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")  # at most ``sample`` rows, one of each id
-    views = [(y.as_py(), i.values.to_numpy(), s.values.to_numpy()) for y, i, s in zip(rows["y"], rows["ids"], rows["share"])]
+            for rows in batches([part], ["nth", "y", "text"], 256):
+                made = [(nth, y, len(f[0]), f[0].astype(np.int32).tobytes(), f[1].astype(np.float32).tobytes()) for nth, y, f in ((nth, y, features(t)) for nth, y, t in rows)]
+                yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(types)], names=names)
+
+    # at most ``sample`` rows are broadcast, and as many texts are grouped
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "nth", "y").agg(F.min(F.struct(F.md5("text").alias("h"), "text"))["text"].alias("text"))
+    made = stored(joined.select("nth", "y", "text").mapInArrow(run, "nth string, y int, n bigint, ids binary, share binary"), "quality-sample")
+    sizes = sorted((r.nth, r.n) for r in made.select("nth", "n").collect())
+    fits = np.cumsum([n for _, n in sizes]) <= most
+    if not fits.all():
+        made = made.filter(F.col("nth") < sizes[int(np.argmin(fits))][0])
+    rows = made.toArrow().sort_by("nth")
+    views = [(y.as_py(), np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(s.as_buffer(), np.float32)) for y, i, s in zip(rows["y"], rows["ids"], rows["share"])]
     return Classifier(seed).fit(views, seed)
 
 
@@ -156,32 +173,29 @@ def scored(docs: DataFrame, model: Classifier, name: str = "quality_score") -> D
             total = sum(map(look.__getitem__, words), 0j)
             s, n = total.real, total.imag
             if len(words) > 1:
-                same = sum(map(eq, words, words[1:])) / (len(words) - 1)
-                s, n = s + n * (same * weight[REPEAT] + (1 - same) * weight[CHANGE]), 2 * n
+                s, n = s + float(weights[pair_features(words)].sum()), n + len(words) - 1
             return 1 / (1 + np.exp(-(s / (n + SHORT) + bias)))
 
         for part in frames:
-            for k in range(0, part.num_rows, 1024):
-                piece = part.slice(k, 1024)
+            for k in range(0, part.num_rows, 256):
+                piece = part.slice(k, 256)
                 scores = pa.array([float(score(t)) for t in piece.column(at).to_pylist()], pa.float64())
                 yield pa.RecordBatch.from_arrays([*piece.columns, scores], names=[*piece.schema.names, name])
+            del part, piece
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
-def quality(docs: DataFrame, labels: DataFrame, in_training=lambda d: id_bucket(d, 3) != 1) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, fold=in_training) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs.
 
     docs: doc_id, text; labels: doc_id, quality; other columns are ignored.  Null and empty
     texts get the model's prior.  Without labelled rows the score is 0.5 throughout; with
     rows of one label only it is that label's smoothed share.  Repeated rows come back as
-    often as they are there; an empty table gives an empty result.
+    often as they are there; an empty table gives an empty result.  A text of any length is
+    read whole; a task holds the rows of one Arrow batch.
     """
     slim = docs.select("doc_id", "text")
-    out = scored(slim, train(slim, labels, "quality", in_training))
-    return out.select(
-        "doc_id",
-        (F.pmod(F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")), F.lit(3)) == 1).alias("held_out"),
-        F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
-    )
+    out = scored(slim, train(slim, labels, "quality", fold))
+    return out.select("doc_id", (~fold(F.col("doc_id"))).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
