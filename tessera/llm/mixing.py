@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import stored, unused
 
 WEIGHTS = (5, 2, 1)  # of the sources in order of code points, null last, repeating
 MOST = 3  # times a source's size that its target may be
+ADDED = ("size", "source_size", "target", "taken")
 RANGES = 4096  # ranges of the key in each source
 
 
@@ -53,36 +54,47 @@ def mix(docs: DataFrame, seed: str = "0") -> DataFrame:
     Columns of docs that clash with the new ones are replaced.  Sums are over all rows; an
     empty table gives an empty result.  The same rows give the same mix on every run.
     """
-    rows = docs.drop("size", "source_size", "target", "taken").withColumn("size", n_words(F.col("text")))
+    mine = docs.drop(*ADDED)
+    key_, range_, before_, source_, at_, offset_, same_ = unused(mine, "key", "range", "before", "source", "at", "offset", "same")
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
-    sizes = stored(docs.select("source", n_words(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
-    goal = targets(sizes).withColumnRenamed("source", "_source")
-    rows = rows.withColumn("_key", key).withColumn("_range", (F.conv(F.substring("_key", 1, 4), 16, 10).cast("int") / (65536 // RANGES)).cast("int"))
-    inside = Window.partitionBy("source", "_range").orderBy("_key", "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = docs.select("source", n_words(F.col("text")).alias("size"), key.alias("_key")).withColumn("_range", (F.conv(F.substring("_key", 1, 4), 16, 10).cast("int") / (65536 // RANGES)).cast("int")).groupBy("source", "_range").agg(F.sum("size").alias("n"))
-    ahead = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES rows per source
-    offsets = sums.select(F.col("source").alias("_source"), F.col("_range").alias("_r"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_offset"))
-    offsets = offsets.join(goal.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
-    placed = rows.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = placed.join(offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_r")))
+    ranged = lambda k: (F.conv(F.substring(k, 1, 4), 16, 10).cast("int") / (65536 // RANGES)).cast("int")
+    size = n_words(F.col("text"))
+    sizes = stored(docs.select("source", size.alias("size")).groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
+    goal = targets(sizes).withColumnRenamed("source", same_)
+    rows = mine.withColumn("size", size).withColumn(key_, key).withColumn(range_, ranged(key_))
+    inside = Window.partitionBy("source", range_).orderBy(key_, "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = docs.select(F.col("source").alias(source_), size.alias("n"), key.alias(key_)).withColumn(at_, ranged(key_)).groupBy(source_, at_).agg(F.sum("n").alias("n"))
+    ahead = Window.partitionBy(source_).orderBy(at_).rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES rows per source
+    offsets = sums.select(source_, at_, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(offset_))
+    offsets = offsets.join(goal, F.col(source_).eqNullSafe(F.col(same_))).drop(same_)
+    placed = rows.withColumn(before_, F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = placed.join(offsets, F.col("source").eqNullSafe(F.col(source_)) & (F.col(range_) == F.col(at_)))
     goal_n, whole = F.round("target").cast("bigint"), F.greatest("source_size", F.lit(1))
     epochs = F.floor(goal_n / whole).cast("bigint")
     rest = goal_n - epochs * whole
-    cut = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("_offset") - F.col("_before")))
-    return placed.withColumn("taken", (epochs * F.col("size") + cut).cast("bigint")).select(*docs.drop("size", "source_size", "target", "taken").columns, "size", "source_size", "target", "taken")
+    cut = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col(offset_) - F.col(before_)))
+    return placed.withColumn("taken", (epochs * F.col("size") + cut).cast("bigint")).select(*_quoted(mine), *ADDED)
+
+
+def _quoted(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
 
 
 def mixed(docs: DataFrame, seed: str = "0") -> DataFrame:
-    """The mix itself with the columns of docs: a row per epoch, the last one cut at the exact word.
+    """The mix itself with the columns of docs, whatever their names: a row per epoch, the last one cut at the exact word.
 
     Where docs has ``n_chars`` it counts the characters of the cut text.
     """
-    m = mix(docs, seed).withColumn("_whole", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int"))
-    m = m.withColumn("_part", (F.col("taken") - F.col("_whole") * F.col("size")).cast("int"))
-    copies = F.concat(F.array_repeat(F.lit(-1), F.col("_whole")), F.when(F.col("_part") > 0, F.array(F.col("_part"))).otherwise(F.array().cast("array<int>")))
-    m = m.withColumn("_n", F.explode(copies))
-    head = F.array_join(F.slice(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), 1, F.greatest(F.col("_n"), F.lit(1))), " ")
-    m = m.withColumn("text", F.when(F.col("_n") < 0, F.col("text")).otherwise(head))
+    aside = dict(zip(ADDED, unused(docs, *ADDED)))
+    aside = {c: aside[c.lower()] for c in docs.columns if c.lower() in aside}
+    m = mix(docs.withColumnsRenamed(aside), seed)
+    n_, whole_, part_ = unused(m, "n", "whole", "part")
+    m = m.withColumn(whole_, F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int"))
+    m = m.withColumn(part_, (F.col("taken") - F.col(whole_) * F.col("size")).cast("int"))
+    copies = F.concat(F.array_repeat(F.lit(-1), F.col(whole_)), F.when(F.col(part_) > 0, F.array(F.col(part_))).otherwise(F.array().cast("array<int>")))
+    m = m.withColumn(n_, F.explode(copies))
+    head = F.array_join(F.slice(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), 1, F.greatest(F.col(n_), F.lit(1))), " ")
+    m = m.withColumn("text", F.when(F.col(n_) < 0, F.col("text")).otherwise(head))
     if "n_chars" in docs.columns:
         m = m.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return m.select(*docs.columns)
+    return m.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])

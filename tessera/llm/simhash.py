@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower_words, batches, shuffle_partitions, stored
+from tessera.llm.common import ascii_lower_words, batches, shuffle_partitions, stored, unused
 from tessera.llm.components import components
 
 NEAR = 3  # differing bits of a link
@@ -102,19 +102,19 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp long) of every row; a null text counts as empty."""
-    slim = docs.select("doc_id", "text")
+    """(doc_id, key, fp long) of every row, key a hash of the text; a null text counts as empty."""
+    slim = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     kind = dict(slim.dtypes)["doc_id"]
 
     def run(frames):
         import pyarrow as pa
 
         for part in frames:
-            for rows in batches([part], ["doc_id", "text"], 2048):
-                fps = np.array([fingerprint(t, width) for _, t in rows], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], part.schema.field("doc_id").type), pa.array(fps)], names=["doc_id", "fp"])
+            for rows in batches([part], ["doc_id", "key", "text"], 512):
+                fps = np.array([fingerprint(t, width) for _, _, t in rows], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], part.schema.field("doc_id").type), pa.array([r[1] for r in rows], pa.int64()), pa.array(fps)], names=["doc_id", "key", "fp"])
 
-    return slim.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return slim.mapInArrow(run, f"doc_id {kind}, key bigint, fp bigint")
 
 
 def linked(fps: np.ndarray, near: int = NEAR, shared: int = SHARED) -> list[tuple[int, int]]:
@@ -204,6 +204,13 @@ def edges(fps: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def _labelled(marked: DataFrame) -> DataFrame:
+    """(fp, least, label) of each distinct fingerprint: its smallest doc_id, and a fingerprint that stands for its component."""
+    least = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    labels = components(edges(least.select("fp")))
+    return least.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of docs.
 
@@ -213,23 +220,27 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     there; an empty table gives an empty result.
     """
     marked = stored(fingerprints(docs, width), "fingerprints")
-    least = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    labels = components(edges(least.select("fp")))
-    named = least.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    named = _labelled(marked)
     first = named.groupBy("label").agg(F.min("least").alias("component_id"))
     named = named.join(first, "label").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
-    """One row of each group of near duplicates: that of the smallest doc_id (of equal rows, one)."""
-    groups = near_duplicates(docs, width)
-    kept = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    repeats = kept.filter("n > 1 or doc_id is null").limit(1).count()
-    if repeats:  # ids that repeat: one row each, by the text's hash
-        from pyspark.sql import Window
-
-        by = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        docs = docs.withColumn("_nth", F.row_number().over(by)).filter("_nth = 1").drop("_nth")
-        return docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    """One row of each group of near duplicates, with all its columns: that of the smallest doc_id.
+
+    Rows are told apart by id and text, so ids may repeat or be null (a null id comes last).
+    Of rows with one id and one text that of the smallest hash of all columns stays.
+    """
+    marked = stored(fingerprints(docs, width), "fingerprints")
+    rows = marked.groupBy("doc_id", "key").agg(F.first("fp").alias("fp"), F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "n")
+    least = rows.join(_labelled(marked).select("fp", "label"), "fp").groupBy("label").agg(F.min(order).alias("kept"))
+    hash_, id_, key_, n_ = unused(docs, "hash", "id", "key", "n")
+    kept = stored(least.select(F.col("kept.doc_id").alias(id_), F.col("kept.key").alias(key_), F.col("kept.n").alias(n_)), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(key_))
+    out = docs.withColumn(hash_, F.xxhash64("text")).join(kept.select(id_, key_), same, "left_semi")
+    if kept.filter(F.col(n_) > 1).limit(1).count():
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.groupBy("doc_id", hash_).agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias(key_)).select(f"{key_}.*")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored, text_key
+from tessera.llm.common import stored, text_key, unused
 
 GRAM = 7
 WINDOW = 7
@@ -63,7 +63,12 @@ def _windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs.
+    """The columns of ``judged`` without the text's key."""
+    return judged(docs, benchmark).drop("key")
+
+
+def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, key (of the text), n_words, n_hit, n_items, items_sha256, contaminated for every row of docs.
 
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored.  Null and empty
     texts have no words and are never contaminated; items without words never occur; a null
@@ -98,12 +103,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = per.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return out.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("k").cast("int")))).select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
+        "doc_id", "key", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that are not contaminated, with all their columns."""
-    flagged = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(flagged, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """The rows of docs that are not contaminated, with all their columns.
+
+    Rows are told apart by id and text, so ids may repeat or be null.
+    """
+    hash_, id_, key_ = unused(docs, "hash", "id", "key")
+    flagged = judged(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias(id_), F.col("key").alias(key_)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(key_))
+    return docs.withColumn(hash_, text_key(F.col("text"))).join(flagged, same, "left_anti").drop(hash_)
