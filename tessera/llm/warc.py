@@ -20,6 +20,8 @@ from tessera.llm.common import batches, open_file, shared_dir, shuffle_partition
 
 FILE_BYTES = 16 << 20  # compressed bytes after which a task starts another archive
 READ = 1 << 20
+PIECE = 1 << 16  # compressed bytes handed to zlib at once, and plain ones taken from it
+MOST = (1 << 31) - (1 << 16)  # bytes of a record: Spark's values hold no more
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 LEAST = 0  # least payload bytes for a revisit
@@ -89,7 +91,7 @@ class _Stream:
                 return -1
 
 
-def salvage(f, most: int = 1 << 30) -> Iterator[tuple[str, int, int, dict, bytes]]:
+def salvage(f, most: int = MOST) -> Iterator[tuple[str, int, int, dict, bytes]]:
     """("record", offset, length, headers, block) of each sound record, ("gap", offset, length, {reason}, b"") of bytes skipped.
 
     Reads the file piece by piece and keeps one record (``most`` bytes at most) in memory.
@@ -104,17 +106,20 @@ def salvage(f, most: int = 1 << 30) -> Iterator[tuple[str, int, int, dict, bytes
             break
         try:
             if s.buf.startswith(MAGIC):
-                d, plain, used = zlib.decompressobj(31), bytearray(), 0
-                while True:
-                    piece = bytes(s.buf[used:])
-                    plain += d.decompress(piece)
-                    used += len(piece) - len(d.unused_data)
-                    if d.eof:
-                        break
+                d, plain, given, piece = zlib.decompressobj(31), bytearray(), 0, b""
+                while not d.eof:
+                    if not piece:
+                        piece = bytes(s.buf[given : given + PIECE])
+                        given += len(piece)
+                        if not piece:
+                            if not s.more():
+                                raise ValueError("member cut short")
+                            continue
+                    plain += d.decompress(piece, 16 * PIECE)
+                    piece = d.unconsumed_tail
                     if len(plain) > most:
                         raise ValueError("member too long")
-                    if not s.more():
-                        raise ValueError("member cut short")
+                used = given - len(d.unused_data)
                 plain = bytes(plain)
                 try:
                     headers, block = parse(plain)
@@ -173,39 +178,41 @@ def write(pages: DataFrame, path: str | None = None, least: int = LEAST) -> Data
     """Write one record per page as archives; return their manifest (path, n_records, n_bytes).
 
     pages: page_id, url, html; a null html is an empty payload, a null url an empty target.
-    Repeated rows with one page_id and one payload are all responses.
+    Repeated rows with one page_id and one payload are all responses, and have one record id.
+    Other columns are not written.  Names hold the task's attempt and the manifest lists those
+    of committed tasks alone, so what a lost or doubled attempt leaves behind is never read.
     """
     spark = pages.sparkSession
     path = path or shared_dir(spark, "warc")
-    rows = planned(pages, least).select("page_id", "url", "html", "_first")
+    rows = planned(pages, least).select("page_id", "url", "html", "_first", F.substring("_sha", 1, 16).alias("sha"))
 
     def run(frames):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part_id, seq, held, n = TaskContext.get().partitionId(), 0, [], 0
+        part_id, attempt, seq, held, n = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, [], 0
 
         def flush():
             nonlocal seq, held, n
-            name = f"{path}/part-{part_id:06d}-{seq:05d}.warc.gz"
+            name = f"{path}/part-{part_id:06d}-{seq:05d}-{attempt}.warc.gz"
             write_file(name, held)
             row = (name, len(held), n)
             seq, held, n = seq + 1, [], 0
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=["path", "n_records", "n_bytes"])
 
         for part in frames:
-            for batch in batches([part], ["page_id", "url", "html", "_first"], 256):
-                for page_id, url, html, first in batch:
+            for batch in batches([part], ["page_id", "url", "html", "_first", "sha"], 256):
+                for page_id, url, html, first, sha in batch:
                     payload = html.encode("utf-8", "surrogatepass")
                     response = first is None or page_id == first
                     headers = {
-                        "WARC-Record-ID": f"<urn:page:{page_id}>", "WARC-Target-URI": " ".join((url or "").split()), "WARC-Date": "1970-01-01T00:00:00Z",
+                        "WARC-Record-ID": f"<urn:page:{page_id}:{sha}>", "WARC-Target-URI": " ".join((url or "").split()), "WARC-Date": "1970-01-01T00:00:00Z",
                         "WARC-Payload-Digest": f"sha1:{digest32(payload)}", "X-Payload-Length": str(len(payload)),
                     }
                     if response:
                         data = record("response", {**headers, "WARC-Block-Digest": f"sha1:{digest32(payload)}"}, payload)
                     else:
-                        data = record("revisit", {**headers, "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:page:{first}>"}, b"")
+                        data = record("revisit", {**headers, "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:page:{first}:{sha}>"}, b"")
                     held.append(member(data))
                     n += len(held[-1])
                     if n >= FILE_BYTES:
@@ -218,14 +225,17 @@ def write(pages: DataFrame, path: str | None = None, least: int = LEAST) -> Data
     return spark.read.schema(manifest.schema).parquet(f"{path}/manifest")
 
 
-def read(files: DataFrame) -> DataFrame:
-    """Every record and gap of the archives named in column ``path``.
+def read(files: DataFrame, strict: bool = False) -> DataFrame:
+    """Every record and gap of the archives named in column ``path``; other columns but n_records are ignored.
 
     kind (record or gap), path, offset, length, warc_type, record_id, refers_to, uri,
-    payload_length, payload_digest, payload, reason.  A file that cannot be opened fails the job.
+    payload_length, payload_digest, payload, reason.  A file that cannot be opened fails the
+    job; with ``strict`` so does one whose sound records are not ``n_records``.  No files, no rows.
     """
     spark = files.sparkSession
-    dealt = files.select("path").distinct().repartition(shuffle_partitions(spark), "path")
+    due = F.max("n_records") if strict else F.lit(None).cast("bigint")
+    # dealt by another key than it is grouped by, else the few rows are put into one task
+    dealt = files.groupBy("path").agg(due.alias("due")).repartition(shuffle_partitions(spark), F.xxhash64("path"))
 
     def run(frames):
         import pyarrow as pa
@@ -238,23 +248,31 @@ def read(files: DataFrame) -> DataFrame:
 
         rows, held = [], 0
         for part in frames:
-            for path in part.column(0).to_pylist():
+            for path, due in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                sound = 0
                 with open_file(path) as f:
                     for kind, at, n, h, block in salvage(f):
+                        sound += kind == "record"
                         length = h.get("X-Payload-Length", "")
                         rows.append((kind, path, at, n, h.get("WARC-Type"), h.get("WARC-Record-ID"), h.get("WARC-Refers-To"), h.get("WARC-Target-URI"), int(length) if length.isdigit() else None, h.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None, block, h.get("reason")))
                         held += len(block)
                         if held > 8 << 20 or len(rows) > 2000:
                             yield out(rows)
                             rows, held = [], 0
+                if due is not None and sound != due:
+                    raise ValueError(f"{path}: {sound} sound records, the manifest says {due}")
         yield out(rows)
 
     return dealt.mapInArrow(run, "kind string, path string, offset bigint, length bigint, warc_type string, record_id string, refers_to string, uri string, payload_length bigint, payload_digest string, payload binary, reason string")
 
 
 def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, from the archives read back."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, from the archives read back.
+
+    pages: page_id, url, html; other columns are ignored.  Repeated rows come back as often as
+    they are there, an empty table gives an empty result, a damaged archive an error.
+    """
     kind = dict(pages.dtypes)["page_id"]
-    page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '<urn:page:(.*)>', 1) as {kind})")
-    got = read(write(pages, least=least)).filter("kind = 'record'")
+    page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '<urn:page:(.*):', 1) as {kind})")
+    got = read(write(pages, least=least), strict=True).filter("kind = 'record'")
     return got.select(page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", F.col("warc_type").alias("record_type"), F.when(F.col("warc_type") == "revisit", page("refers_to")).alias("refers_to"))
