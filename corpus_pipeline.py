@@ -16,7 +16,7 @@ from tessera.llm.queries import tokenizer_path
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose whole text the classifier scores 0.5 or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.train(docs, labels, "quality", lambda d: common.id_bucket(d, 3) != 1)
+    model = quality.train(docs, labels, "quality")
     return quality.scored(docs, model, "_quality_of_text").filter("_quality_of_text >= 0.5").select(*docs.columns)
 
 
