@@ -1,18 +1,22 @@
 """Hidden Markov language model.
 
-Word counts are taken over all training rows.  Words with at least 1/HEAD of all tokens
-(so at most HEAD of them, whatever the corpus) have emissions of their own; every other
-word is emitted through one class "rare" and, inside it, by its smoothed share of the rare
-tokens, which does not depend on the state.  So a sequence's likelihood is exactly
+Word counts are taken over all training rows.  Words that occur SEEN times or more and make
+up at least 1/HEAD of all tokens (so at most HEAD of them, whatever the corpus) have
+emissions of their own; every other word is emitted through one class "rare" and, inside it,
+by its smoothed share of the rare tokens, which does not depend on the state.  Words that
+occur once are rare at every size, so the class has the mass that new words need.  A
+sequence's likelihood is exactly
 
     P(classes by the scaled forward recursion) * product over rare words of P(word | rare)
 
+Every text is cut into words once; its classes are stored and all rounds read them.
 Baum-Welch: each partition sums expected counts of its training rows in full, partitions
 are added up, the driver normalises the K x (K + HEAD) table.  Rounds over all training rows
 go on until the log likelihood (with the smoothing's prior) gained a share below TOLERANCE in
 CALM rounds in succession.  From states that are near-copies of each other EM stays on a
 plateau for some twenty rounds, so rounds start from the best of STARTS random models with
 lasting states, each fitted on a sample of training rows; the sample decides the start alone.
+Expected counts of a round are single precision inside a batch of sequences; scores are double.
 The part of each text outside the head joins the word counts by word; no word of the join is frequent.
 """
 
@@ -30,9 +34,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ascii_lower_words, batches, id_bucket, stored
 
 HEAD = 200_000  # most words with emissions of their own, besides the end
+SEEN = 2  # occurrences of such a word at least
 END = b""  # no word is empty
 FLUSH = 200_000  # distinct words a task counts before it hands them on
 CELLS = 1_000_000  # padded positions of a batch of sequences
+LONG = 1 << 18  # positions of a sequence that are held at once
 SMOOTH = 0.01  # added to each expected count
 TOLERANCE, CALM = 1e-4, 2  # training ends when so many rounds in succession gain less than this share
 MOST = 200  # rounds after which training that has not settled is an error
@@ -103,64 +109,84 @@ def _batched(sequences: list[np.ndarray]):
         at += n
 
 
-def _padded(model: Model, sequences: list[np.ndarray], part: list[int]):
-    """Lengths, number of sequences that reach each step (a prefix), cells, and emissions by state, step and sequence."""
+def _padded(sequences: list[np.ndarray], part: list[int]):
+    """Lengths, number of sequences that reach each step (a prefix), and cells by step and sequence."""
     lengths = np.array([len(sequences[i]) for i in part])
     live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").tolist()
     cells = np.zeros((lengths[0], len(part)), np.int32)
     for k, i in enumerate(part):
         cells[: lengths[k], k] = sequences[i]
-    return lengths, live, cells, model.emit[:, cells]
+    return lengths, live, cells
+
+
+def _alphas(model: Model, turn: np.ndarray, emit: np.ndarray, live: list[int], before: np.ndarray | None):
+    """Scaled forward probabilities by state, step and sequence, and the scales; ``before`` is the step ahead of the first."""
+    alphas, scales = np.zeros(emit.shape, emit.dtype), np.ones(emit.shape[1:], emit.dtype)
+    for t, n in enumerate(live):
+        a = np.repeat(model.first[:, None].astype(emit.dtype), n, 1) if before is None else turn @ before[:, :n]
+        a *= emit[:, t, :n]
+        scale = a.sum(0)
+        a /= scale
+        alphas[:, t, :n], scales[t, :n], before = a, scale, a
+    return alphas, scales
 
 
 def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
-    """Natural log likelihood of each sequence, by the scaled forward recursion."""
+    """Natural log likelihood of each sequence, by the scaled forward recursion; LONG steps are held at once."""
     result, turn = np.zeros(len(sequences)), np.ascontiguousarray(model.move.T)
     for part in _batched(sequences):
-        lengths, live, cells, emit = _padded(model, sequences, part)
-        scales = np.ones(cells.shape)
-        alpha = model.first[:, None] * emit[:, 0]
-        for t, n in enumerate(live):
-            if t:
-                alpha = turn @ alpha[:, :n]
-                alpha *= emit[:, t, :n]
-            scale = alpha.sum(0)
-            alpha /= scale
-            scales[t, :n] = scale
-        result[part] = np.log(scales).sum(0)
+        _, live, cells = _padded(sequences, part)
+        alpha, total = None, np.zeros(len(part))
+        for at in range(0, len(live), LONG):
+            emit = model.emit[:, cells[at : at + LONG]]
+            scales = np.ones(emit.shape[1:])
+            for t, n in enumerate(live[at : at + LONG]):
+                alpha = model.first[:, None] * emit[:, t, :n] if alpha is None else (turn @ alpha[:, :n]) * emit[:, t, :n]
+                scale = alpha.sum(0)
+                alpha /= scale
+                scales[t, :n] = scale
+            total += np.log(scales).sum(0)
+        result[part] = total
     return result
 
 
 def expected(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected first-state, transition and emission counts of the sequences, and their log likelihood."""
-    states, size = model.emit.shape
+    """Expected first-state, transition and emission counts of the sequences, and their log likelihood.
+
+    In the precision of ``model.emit``; sums over batches are double.  Of a sequence beyond
+    LONG steps the forward pass keeps one column for each LONG steps and is repeated from it.
+    """
+    kind, (states, size) = model.emit.dtype, model.emit.shape
     first, move, emit_sum, loglik = np.zeros(states), np.zeros((states, states)), np.zeros((states, size)), 0.0
-    turn = np.ascontiguousarray(model.move.T)
+    step = model.move.astype(kind)
+    turn = np.ascontiguousarray(step.T)
     for part in _batched(sequences):
-        lengths, live, cells, emit = _padded(model, sequences, part)
-        alphas, scales = np.zeros(emit.shape), np.ones(cells.shape)
-        before = None
-        for t, n in enumerate(live):
-            a = turn @ before[:, :n] if t else np.repeat(model.first[:, None], n, 1)
-            a *= emit[:, t, :n]
-            scale = a.sum(0)
-            a /= scale
-            alphas[:, t, :n], scales[t, :n], before = a, scale, a
-        loglik += float(np.log(scales).sum())
-        emit /= scales
-        beta = np.ones((states, len(part)))
-        for t in range(len(live) - 1, 0, -1):
-            n = live[t]
-            alphas[:, t, :n] *= beta[:, :n]  # gamma from here on
-            ahead = emit[:, t, :n] * beta[:, :n]
-            move += alphas[:, t - 1, :n] @ ahead.T
-            beta[:, :n] = model.move @ ahead
-        alphas[:, 0] *= beta
-        first += alphas[:, 0].sum(1)
-        mask = np.arange(len(live))[:, None] < lengths[None, :]
-        where = cells[mask]
-        for k in range(states):
-            emit_sum[k] += np.bincount(where, weights=alphas[k][mask], minlength=size)
+        lengths, live, cells = _padded(sequences, part)
+        starts: list[np.ndarray | None] = [None]  # the column ahead of each block
+        for at in range(0, len(live) - LONG, LONG):
+            starts.append(_alphas(model, turn, model.emit[:, cells[at : at + LONG]], live[at : at + LONG], starts[-1])[0][:, -1])
+        beta = np.ones((states, len(part)), kind)
+        for at in range((len(live) - 1) // LONG * LONG, -1, -LONG):
+            here, before = live[at : at + LONG], starts[at // LONG]
+            emit = model.emit[:, cells[at : at + LONG]]
+            alphas, scales = _alphas(model, turn, emit, here, before)
+            loglik += float(np.log(scales).sum(dtype=float))
+            emit /= scales
+            moved = np.zeros((states, states), kind)
+            for t in range(len(here) - 1, -1, -1):
+                n = here[t]
+                alphas[:, t, :n] *= beta[:, :n]  # gamma from here on
+                if at + t:
+                    ahead = emit[:, t, :n] * beta[:, :n]
+                    moved += (alphas[:, t - 1, :n] if t else before[:, :n]) @ ahead.T
+                    beta[:, :n] = step @ ahead
+            move += moved
+            if not at:
+                first += alphas[:, 0].sum(1, dtype=float)
+            mask = np.arange(at, at + len(here))[:, None] < lengths[None, :]
+            where = cells[at : at + LONG][mask]
+            for k in range(states):
+                emit_sum[k] += np.bincount(where, weights=alphas[k][mask], minlength=size)
     return first, move * model.move, emit_sum, loglik
 
 
@@ -169,15 +195,65 @@ def _settled(history: list[float]) -> bool:
     return len(gains) >= CALM and all(gains[-CALM:])
 
 
-def _started(docs: DataFrame, in_training, words: list[bytes], counts: np.ndarray, rare: int, rows: int, states: int) -> Model:
+def vocabulary(counts: DataFrame) -> dict:
+    """Head words in order with their counts, and sums over all words; the driver holds HEAD + 1 words at most."""
+    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    head = counts.filter((F.col("c") * HEAD >= total) & (F.col("c") >= SEEN) | (F.col("word") == F.lit(END))).orderBy("word").toArrow()
+    words, c = head["word"].to_pylist(), head["c"].to_numpy().astype(np.int64)
+    rare, kinds = int(total) - int(c.sum()), int(distinct) - len(words)
+    if END not in words[:1]:
+        words, c = [END, *words], np.append(0, c)
+    return {"words": words, "counts": c, "tokens": int(total), "kinds": int(distinct), "rare": rare, "rare_kinds": kinds}
+
+
+def coded(docs: DataFrame, facts: dict, in_training) -> DataFrame:
+    """docs: doc_id, key, text -> doc_id, key, train, n, n_known, base, ids, words, times.
+
+    ids: the class of each word and of the end, 2 or 4 bytes each; words and times: the rare
+    words of the text; n_known and base: those of the head.
+    """
+    spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
+    shared = spark.sparkContext.broadcast((facts["words"], facts["counts"]))
+
+    def run(frames):
+        import pyarrow as pa
+
+        words, counts = shared.value
+        get, rare, width = {w: i for i, w in enumerate(words)}.get, len(words), _width(len(words))
+        logs, there = np.log10(counts + 1), (counts > 0).astype(np.int64)
+        names = ["doc_id", "key", "train", "n", "n_known", "base", "ids", "words", "times"]
+        types = [None, pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+        for part in frames:
+            types[0] = part.schema.field("doc_id").type
+            for rows in batches([part], ["doc_id", "key", "text"], 512):
+                made = []
+                for d, key, t in rows:
+                    said = ascii_lower_words(t)
+                    said.append(END)
+                    ids = np.array(list(map(get, said, repeat(rare))), np.int32)
+                    other = Counter(compress(said, (ids == rare).tolist()))
+                    head = np.bincount(ids)[:rare]
+                    at = np.flatnonzero(head)
+                    made.append((d, key, in_training(d), len(said), int(head[at] @ there[at]), float(head[at] @ logs[at]), ids.astype(width).tobytes(), list(other), list(other.values())))
+                yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(types)], names=names)
+
+    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key bigint, train boolean, n bigint, n_known bigint, base double, ids binary, words array<binary>, times array<int>")
+
+
+def _width(classes: int):
+    return np.uint16 if classes < 1 << 16 else np.int32
+
+
+def _started(codes: DataFrame, facts: dict, states: int) -> Model:
     """The start of training: the best of STARTS random models after Baum-Welch on a sample of about SAMPLE rows."""
+    words, counts, rare = facts["words"], facts["counts"], facts["rare"]
     share = np.append(counts, max(rare, 1)).astype(float)
     share /= share.sum()
-    at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(SAMPLE / max(rows, 1) * (1 << 30)) + 1
-    chosen = docs.filter(at).select("doc_id", F.substring("text", 1, PREFIX).alias("text")).limit(4 * SAMPLE).toArrow()
-    texts = sorted(t or "" for d, t in zip(chosen["doc_id"].to_pylist(), chosen["text"].to_pylist()) if in_training(d))
+    width, rows = _width(len(words)), max(1, int(counts[0]))
+    at = F.pmod(F.xxhash64("doc_id", "key"), F.lit(1 << 30)) < int(SAMPLE / rows * (1 << 30)) + 1
+    chosen = codes.filter(F.col("train") & at).select(F.substring("ids", 1, PREFIX * np.dtype(width).itemsize).alias("ids")).limit(4 * SAMPLE).toArrow()
+    seqs = [np.frombuffer(b, width) for b in sorted(chosen["ids"].to_pylist())]
     best, found = -math.inf, Model(words, counts, rare, states)
-    seqs = [found.classes(t) for t in texts]
     for seed in range(STARTS if seqs else 0):
         rng = np.random.default_rng(seed)
         model = Model(words, counts, rare, states, seed)
@@ -194,42 +270,42 @@ def _started(docs: DataFrame, in_training, words: list[bytes], counts: np.ndarra
     return found
 
 
-def train(docs: DataFrame, counts: DataFrame, in_training, states: int = 4, rounds: int | None = None) -> tuple[Model, dict]:
-    """Fit the model on every training row, until it settles or for at most ``rounds`` rounds; the driver holds the K x (K + HEAD) table and the start's sample."""
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = counts.filter((F.col("c") * HEAD >= total) | (F.col("word") == F.lit(END))).orderBy("word").toArrow()  # at most HEAD + 1 rows
-    words, c = head["word"].to_pylist(), head["c"].to_numpy().astype(np.int64)
-    rare, rare_kinds = max(0, int(total) - int(c.sum())), int(distinct) - len(words)
-    known = dict(zip(words, c.tolist()))
-    if END not in known:
-        words, c = [END, *words], np.append(1, c)
-    model = _started(docs, in_training, words, c, rare, known.get(END, 0), states)
-    spark = docs.sparkSession
+def train(codes: DataFrame, facts: dict, states: int = 4, rounds: int | None = None) -> tuple[Model, list[float]]:
+    """Fit on every training row of ``codes``, until it settles or for at most ``rounds`` rounds: the model, the log likelihood by round.
+
+    The driver holds the K x (K + HEAD) table and the start's sample.
+    """
+    spark, words = codes.sparkSession, facts["words"]
+    model = _started(codes, facts, states)
     history: list[float] = []
+    rows = codes.filter("train").select("ids")
+    size = len(words) + 1
+    width = states * (1 + states + size) + 1
     while not _settled(history) and (rounds is None or len(history) < rounds):
         if len(history) >= MOST:
             raise RuntimeError(f"training did not settle in {MOST} rounds")
-        shared = spark.sparkContext.broadcast(model)
-        width = states * (1 + states + len(words) + 1) + 1
+        shared = spark.sparkContext.broadcast((model.first, model.move, model.emit.astype(np.float32)))
 
-        def run(frames, shared=shared, width=width):
+        def run(frames, shared=shared):
             import pyarrow as pa
 
-            now, total_ = shared.value, np.zeros(width)
+            now, sums = Model([], np.zeros(0), 1, states), np.zeros(width)
+            now.first, now.move, now.emit = shared.value
             for part in frames:
-                for rows in batches([part], ["doc_id", "text"], 4096):
-                    if seqs := [now.classes(t) for d, t in rows if in_training(d)]:
-                        f, m, e, ll = expected(now, seqs)
-                        total_ += np.concatenate([f, m.ravel(), e.ravel(), [ll]])
-            at = np.flatnonzero(total_)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total_[at], pa.float64())], names=["i", "x"])
+                for at in range(0, part.num_rows, 2048):
+                    seqs = [np.frombuffer(b.as_buffer(), _width(size - 1)) for b in part.column(0).slice(at, 2048)]
+                    f, m, e, ll = expected(now, seqs)
+                    sums += np.concatenate([f, m.ravel(), e.ravel(), [ll]])
+            at = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[at], pa.float64())], names=["i", "x"])
 
         sums = np.zeros(width)
-        added = docs.select("doc_id", "text").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()  # at most width rows
+        added = rows.mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()  # at most width rows
+        shared.unpersist()
         sums[added["i"].to_numpy()] = added["x"].to_numpy()
         history.append(float(sums[-1]) + model.prior())
         model.updated(sums[:states], sums[states : states + states**2].reshape(states, states), sums[states + states**2 : -1].reshape(states, -1))
-    return model, {"tokens": int(total), "kinds": int(distinct), "rare": rare, "rare_kinds": rare_kinds, "known": known, "loglik": history}
+    return model, history
 
 
 def score(docs: DataFrame, in_training=lambda d: id_bucket(d, 7) != 2, states: int = 4, rounds: int | None = None) -> DataFrame:
@@ -238,53 +314,39 @@ def score(docs: DataFrame, in_training=lambda d: id_bucket(d, 7) != 2, states: i
     docs: doc_id, text; other columns are ignored.  A null text is an empty one (its end
     alone is scored), a null id counts as empty text for the split.  Repeated rows come
     back as often as they are there.  With no training row all counts are 0 and the model is
-    uniform.  An empty table gives an empty result.
+    uniform.  An empty table gives an empty result.  Of a text of any length a task holds its
+    words and LONG steps of the recursion.
     """
-    slim = docs.select("doc_id", "text")
-    spark, kind = docs.sparkSession, dict(slim.dtypes)["doc_id"]
+    slim = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     counts = stored(word_counts(slim, in_training), "hmm-counts")
-    model, facts = train(slim, counts, in_training, states, rounds)
-    known = facts["known"]
+    facts = vocabulary(counts)
+    codes = stored(coded(slim, facts, in_training), "hmm-codes")
+    model, _ = train(codes, facts, states, rounds)
     base_all = math.log10(facts["tokens"] + facts["kinds"] + 1)
     rare_all = math.log10(facts["rare"] + facts["rare_kinds"] + 1)
-    shared = spark.sparkContext.broadcast((model, known))
+    size, tables = len(facts["words"]), docs.sparkSession.sparkContext.broadcast((model.first, model.move, model.emit))
 
     def run(frames):
         import pyarrow as pa
 
-        now, c = shared.value
-        head_counts = np.array([c.get(w, 0) for w in now.ids])
-        logs, there = np.log10(head_counts + 1), (head_counts > 0).astype(np.int64)
-        names = ["doc_id", "key", "n", "n_known", "base", "score", "words", "times"]
-        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+        now = Model([], np.zeros(0), 1, states)
+        now.first, now.move, now.emit = tables.value
         for part in frames:
-            types[0] = part.schema.field("doc_id").type
-            for rows in batches([part], ["doc_id", "text", "key"], 4096):
-                made, seqs = [], []
-                for d, t, key in rows:
-                    words = ascii_lower_words(t)
-                    words.append(END)
-                    seqs.append(np.array(list(map(now.ids.get, words, repeat(len(now.ids)))), np.int32))
-                    rare = Counter(compress(words, (seqs[-1] == len(now.ids)).tolist()))
-                    head = np.bincount(seqs[-1])[: len(now.ids)]
-                    at = np.flatnonzero(head)
-                    base, n_known = float(head[at] @ logs[at]), int(head[at] @ there[at])
-                    made.append((d, key, len(words), n_known, base, b"\n".join(rare), np.fromiter(rare.values(), np.int32, len(rare))))
-                scores = (forward(now, seqs) / math.log(10)).tolist()
-                for k in range(0, len(made), 512):
-                    some = [(*m[:5], s, m[5].split(b"\n") if len(m[6]) else [], m[6].tolist()) for m, s in zip(made[k : k + 512], scores[k : k + 512])]
-                    yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in some], t) for i, t in enumerate(types)], names=names)
-
-    scored = slim.withColumn("key", F.xxhash64("text")).mapInArrow(run, f"doc_id {kind}, key bigint, n bigint, n_known bigint, base double, score double, words array<binary>, times array<int>")
-    scored = stored(scored, "hmm-scored")
+            for at in range(0, part.num_rows, 2048):
+                piece = part.slice(at, 2048)
+                scores = forward(now, [np.frombuffer(b.as_buffer(), _width(size)) for b in piece.column(piece.num_columns - 1)]) / math.log(10)
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(scores, pa.float64())], names=[*piece.schema.names[:-1], "score"])
+
+    slim_kind = ", ".join(f"{c} {t}" for c, t in codes.select("doc_id", "key", "n", "n_known", "base").dtypes)
+    scored = codes.select("doc_id", "key", "n", "n_known", "base", "ids").mapInArrow(run, f"{slim_kind}, score double")
     n, c = F.col("n"), F.coalesce(F.col("c"), F.lit(0))
-    pairs = scored.select("doc_id", "key", F.explode(F.arrays_zip("words", "times")).alias("p")).select("doc_id", "key", F.col("p.words").alias("word"), F.col("p.times").alias("n"))
+    pairs = codes.select("doc_id", "key", F.explode(F.arrays_zip("words", "times")).alias("p")).select("doc_id", "key", F.col("p.words").alias("word"), F.col("p.times").alias("n"))
     rare = (
-        pairs.join(counts.hint("shuffle_hash"), "word", "left")
+        pairs.join(counts, "word", "left")
         .groupBy("doc_id", "key").agg(F.sum(F.when(c > 0, n).otherwise(0)).alias("n_known"), F.sum(n * F.log10(c + 1)).alias("base"), F.sum(n).alias("n_rare"))
         .select("doc_id", "key", F.lit(0).cast("bigint").alias("n"), "n_known", "base", F.lit(0.0).alias("score"), F.lit(0).alias("whole"), "n_rare")
     )
-    whole = scored.drop("words", "times").withColumn("whole", F.lit(1)).withColumn("n_rare", F.lit(0).cast("bigint"))
+    whole = scored.withColumn("whole", F.lit(1)).withColumn("n_rare", F.lit(0).cast("bigint"))
     # one shuffle of slim rows brings both parts of a text together; k counts repeats of the row
     both = whole.unionByName(rare).groupBy("doc_id", "key").agg(
         F.sum("whole").alias("k"), F.max("n").alias("n"),

@@ -109,11 +109,59 @@ def test_forward_and_expected_counts_match_enumeration():
     assert np.allclose(f, first) and np.allclose(m, move) and np.allclose(e, emit)
 
 
+def test_long_sequences_in_blocks_give_the_same(monkeypatch):
+    rng = np.random.default_rng(2)
+    model = hmm.Model([b"", b"a", b"b", b"c"], np.array([3, 5, 4, 2]), 2, 3)
+    seqs = [rng.integers(0, 5, n) for n in (1, 2, 7, 8, 9, 30, 64)]
+    whole, scores = hmm.expected(model, seqs), hmm.forward(model, seqs)
+    monkeypatch.setattr(hmm, "LONG", 8)
+    assert all(np.allclose(a, b) for a, b in zip(whole, hmm.expected(model, seqs))) and np.allclose(scores, hmm.forward(model, seqs))
+    model.emit = model.emit.astype(np.float32)
+    assert all(np.allclose(a, b, rtol=1e-4) for a, b in zip(whole, hmm.expected(model, seqs)))
+
+
+@pytest.mark.parametrize("head", [200_000, 12])
+def test_hmm_scores_equal_enumeration(spark, monkeypatch, head):
+    """The score column against the sum over all state paths, words outside the head and new ones included."""
+    from itertools import product
+
+    monkeypatch.setattr(hmm, "HEAD", head)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("the the the cat sat mat one two".split() + [f"w{i}" for i in range(30)]) for _ in range(rng.randint(0, 5))) for _ in range(50)]
+    docs = docs_of(spark, texts).select("doc_id", "text")
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    codes, facts = hmm_parts(docs, lambda d: not held(d))
+    model, _ = hmm.train(codes, facts, states=2)
+    counts = Counter(w for i, t in enumerate(texts) if not held(i) for w in hmm.ascii_lower_words(t))
+    words = {w: i for i, w in enumerate(facts["words"])}
+    assert 0 < len(words) < len(counts) and all(counts[w] >= 2 for w in words if w)
+    rare = sum(n for w, n in counts.items() if w not in words)
+    kinds = sum(w not in words for w in counts)
+    for r in hmm.score(docs, states=2).collect():
+        said, total = [*hmm.ascii_lower_words(texts[r.doc_id]), b""], 0.0
+        for path in product(range(2), repeat=len(said)):
+            p = model.first[path[0]]
+            for k, w in enumerate(said):
+                p *= model.emit[path[k], words.get(w, len(words))] * (model.move[path[k - 1], path[k]] if k else 1)
+                p *= 1 if w in words else (counts[w] + 1) / (rare + kinds + 1)
+            total += p
+        assert r.score == pytest.approx(math.log10(total), rel=1e-6)
+
+
+def hmm_parts(docs, in_training=lambda d: True):
+    from pyspark.sql import functions as F
+
+    from tessera.llm.common import stored
+
+    slim = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    facts = hmm.vocabulary(hmm.word_counts(slim, in_training))
+    return stored(hmm.coded(slim, facts, in_training), "codes"), facts
+
+
 def test_training_raises_likelihood(spark):
     docs = docs_of(spark, ["a b " * 20, "a b a b", "c d " * 10, "c d c"] * 5).select("doc_id", "text")
-    counts = hmm.word_counts(docs, lambda d: True)
-    _, facts = hmm.train(docs, counts, lambda d: True, states=3, rounds=6)
-    assert facts["loglik"] == sorted(facts["loglik"]) and facts["loglik"][-1] > facts["loglik"][0] + 1
+    _, loglik = hmm.train(*hmm_parts(docs), states=3, rounds=6)
+    assert loglik == sorted(loglik) and loglik[-1] > loglik[0] + 1
 
 
 def test_hmm_states_are_trained_past_the_plateau(spark):
@@ -121,8 +169,7 @@ def test_hmm_states_are_trained_past_the_plateau(spark):
     vocabularies = [[f"{a}{i}" for i in range(30)] for a in "pqrs"]
     texts = [" ".join(rng.choice(vocabularies[i % 4]) for _ in range(40)) for i in range(160)]
     docs = docs_of(spark, texts)
-    _, facts = hmm.train(docs, hmm.word_counts(docs, lambda d: True), lambda d: True)
-    a, b, c = facts["loglik"][-3:]
+    a, b, c = hmm.train(*hmm_parts(docs))[1][-3:]
     assert c - b < hmm.TOLERANCE * abs(c) and b - a < hmm.TOLERANCE * abs(b)
     held = [r for r in hmm.score(docs).collect() if r.held_out]
     # a text of one of four vocabularies gains about log10(4) a word over the unigram
@@ -223,6 +270,51 @@ def test_quality_reads_long_words_whole(spark):
     assert held and all(r.predicted == r.doc_id % 2 for r in held)
 
 
+def test_quality_training_against_plain_descent(spark):
+    """The same descent written out one number at a time."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("ab ba aab bba".split() if i % 2 else "ab cd aab dc".split()) for _ in range(6)) for i in range(12)]
+    rows = [(i % 2, *quality.features(t)) for i, t in enumerate(texts)]
+    for t, (_, ids, share) in zip(texts, rows):
+        words, tally = t.split(), Counter()
+        for w in words:
+            b = f"<{w}>"
+            tally.update(zlib.crc32(g.encode()) % quality.BUCKETS for g in [b, *[b[i : i + n] for n in (3, 4) for i in range(len(b) - n + 1)]])
+        for a, b in zip(words, words[1:]):
+            tally[((ord(a[0]) << 21 | ord(b[0])) * 0x9E3779B97F4A7C15 % 2**64) >> 47] += 1
+        assert dict(zip(ids.tolist(), share.tolist())) == pytest.approx({f: n / (sum(tally.values()) + quality.SHORT) for f, n in tally.items()})
+    got = quality.Classifier(3).fit(rows, 3)
+    start, order = quality.Classifier(3), np.random.default_rng(3)
+    vec = {f: start.vectors[f].tolist() for _, ids, _ in rows for f in ids.tolist()}
+    out, bias, step = [[0.0] * quality.DIM for _ in range(2)], [0.0, 0.0], 0
+    for _ in range(quality.EPOCHS):
+        for i in order.permutation(len(rows)):
+            y, ids, share = rows[i]
+            feats, rate = list(zip(ids.tolist(), share.tolist())), quality.RATE * (1 - step / (quality.EPOCHS * len(rows)))
+            step += 1
+            mean = [sum(s * vec[f][d] for f, s in feats) for d in range(quality.DIM)]
+            z = [math.exp(sum(o * m for o, m in zip(out[k], mean)) + bias[k]) for k in range(2)]
+            p = [z[k] / sum(z) - (k == y) for k in range(2)]
+            back = [sum(p[k] * out[k][d] for k in range(2)) for d in range(quality.DIM)]
+            norm = sum(s * s for _, s in feats)
+            out = [[out[k][d] - rate * p[k] * mean[d] for d in range(quality.DIM)] for k in range(2)]
+            bias = [bias[k] - 0.1 * rate * p[k] for k in range(2)]
+            for f, s in feats:
+                vec[f] = [v - rate * s / norm * b for v, b in zip(vec[f], back)]
+    assert np.allclose(got.out, out) and np.allclose(got.bias, bias) and all(np.allclose(got.vectors[f], v) for f, v in vec.items())
+
+
+def test_quality_sample_is_bounded_and_the_same_on_every_run(spark):
+    rng = random.Random(10)
+    texts = [" ".join(rng.choice("abcdef") * 3 for _ in range(20)) for _ in range(80)]
+    ids = [i // 2 for i in range(80)]  # each id has two texts
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    docs = docs_of(spark, texts, ids=ids)
+    a, b = (quality.train(d, labels, "quality").weights() for d in (docs, docs.orderBy("text").repartition(3)))
+    assert (a[0] == b[0]).all() and a[1] == b[1]
+    assert (quality.train(docs, labels, "quality", most=1).weights()[0] == quality.Classifier().weights()[0]).all()
+
+
 # --- 5 ------------------------------------------------------------------------------------
 def brute_contamination(texts, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
@@ -475,6 +567,43 @@ def test_salvage_reads_all_records_of_a_member():
     assert sum(n for _, n in covered) == len(data) and all(a + n == b for (a, n), (b, _) in zip(covered, covered[1:]))
 
 
+def test_archives_are_read_by_their_manifest(spark, tmp_path):
+    html = [f"<p>{i % 3}</p>" * 50 for i in range(9)]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(html)], "page_id long, url string, html string").repartition(2)
+    files = warc.write(pages, f"file://{tmp_path}/a")
+    (tmp_path / "a" / "part-000000-00000-999.warc.gz").write_bytes(warc.member(warc.record("response", {"WARC-Record-ID": "<urn:page:77:x>"}, b"left by a lost attempt")))
+    assert sorted(r.record_id.split(":")[2] for r in warc.read(files, strict=True).collect()) == [str(i) for i in range(9)]
+    one = files.first().path.removeprefix("file://")
+    data = bytearray(open(one, "rb").read())
+    data[len(data) // 2] ^= 0x55
+    open(one, "wb").write(data)
+    assert {"gap", "record"} == {r.kind for r in warc.read(files).collect()}
+    with pytest.raises(Exception, match="sound records"):
+        warc.read(files, strict=True).collect()
+
+
+# --- stages by row ------------------------------------------------------------------------
+def test_stages_tell_rows_apart_by_id_and_text(spark):
+    one, two, item = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30)), " ".join(f"q{i}" for i in range(20))
+    rows = [(5, one), (5, two), (3, two), (5, one), (None, one + " z"), (None, item), (None, None), (7, None), (8, item), (8, "plain text of its own")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, k, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, _key long, _id string")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    fps = {t: simhash.fingerprint(t) for _, t in rows}
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    groups: dict[int, list] = {}
+    for i, t in rows:
+        root = next((f for f in groups if bin(f ^ fps[t]).count("1") <= 3), fps[t])
+        groups.setdefault(root, []).append((i, t))
+    assert Counter(got) == Counter(min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values())
+    assert [r._key for r in kept.filter("doc_id = 5").collect()] in ([0], [3])
+    clean = winnow.clean(docs, spark.createDataFrame([(0, item)], "item_id long, text string"))
+    assert clean.columns == docs.columns and Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if r[1] != item)
+    extra = docs.withColumnsRenamed({"_key": "size", "_id": "_n"}).withColumn("_part", docs.lang)
+    mixed = mixing.mixed(extra)
+    assert mixed.columns == extra.columns and {(r["size"], r._n, r._part) for r in mixed.collect()} <= {(k, "x", "en") for k in range(len(rows))}
+
+
 # --- pipeline -----------------------------------------------------------------------------
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
