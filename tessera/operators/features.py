@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,23 +79,23 @@ def encode_first_seen(df: DataFrame, column: str, order: Sequence[str], name: st
     return df.join(seen, column, "left")
 
 
-def derive(df: DataFrame, rules: Sequence[tuple[str, Sequence[str], Column]]) -> DataFrame:
+def derive(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:
     """Fill targets that are missing or null throughout from the first rule whose sources are there.
 
-    One aggregate tells which existing targets are empty.
+    rules: (target, sources, expression), applied where all sources have a value, or with "any"
+    as a fourth entry where one has.  One aggregate tells which existing targets are empty.
     """
-    present = [t for t, _, _ in rules if t in df.columns]
+    present = [r[0] for r in rules if r[0] in df.columns]
     empty = set()
     if present:
         row = df.agg(*[F.count(t).alias(t) for t in dict.fromkeys(present)]).first()
         empty = {t for t in present if row[t] == 0}
     done, out = set(), {}
-    for target, sources, expr in rules:
+    for target, sources, expr, *how in rules:
         if target in done or (target in df.columns and target not in empty) or not all(s in df.columns for s in sources):
             continue
-        ready = F.lit(True)
-        for s in sources:
-            ready = ready & F.col(s).isNotNull()
+        there = [F.col(s).isNotNull() for s in sources]
+        ready = reduce(lambda a, b: a | b if how == ["any"] else a & b, there)
         out[target] = F.when(ready, expr)
         done.add(target)
     return df.withColumns(out)

@@ -135,3 +135,13 @@ def transition_errors(log: DataFrame, entity: str, order: str, stage: str, seque
     at = F.array_position(F.array(*[F.lit(s) for s in sequence]), F.col(stage))
     before = F.lag(at).over(Window.partitionBy(entity).orderBy(order))
     return log.withColumns({"stage_no": at, "previous_no": before}).filter((F.col("stage_no") == 0) | (F.col("stage_no") != F.coalesce("previous_no", F.lit(0)) + 1))
+
+
+def to_json(rows: DataFrame) -> DataFrame:
+    """Nodes or edges as one JSON document each (column json); nulls are kept as null."""
+    return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def from_json(documents: DataFrame, schema: str) -> DataFrame:
+    """Rows of ``to_json`` read back."""
+    return documents.select(F.from_json("json", schema).alias("r")).select("r.*")

@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAKY_TOKENS = {"predicted", "prediction", "recommended", "expected", "confidence", "score", "rank", "target", "yield"}
-
-
-def is_leaky(name: str, target: str, tokens: set[str] = LEAKY_TOKENS) -> bool:
-    """Whether a column's name says that it derives from the target: same family or a telling token."""
-    part = lambda s: [t for t in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "_", s).lower()) if t and not t.isdigit()]
-    stem = {t for t in part(target) if t not in ("per", "cm", "kg", "ha", "g")}
-    return name != target and bool(set(part(name)) & (tokens | stem))
-
-
-def safe_features(df: DataFrame, target: str) -> list[str]:
-    numeric = {"int", "bigint", "double", "float", "smallint", "tinyint"}
-    return [c for c, t in df.dtypes if c != target and (t in numeric or t.startswith("decimal")) and not is_leaky(c, target)]
+from tessera.operators.leakage import is_leaky, safe_features
 
+__all__ = ["is_leaky", "safe_features"]
 
 def scheme(n: int, groups: int | None = None) -> str:
     """Cross-validation by size: refuse, leave one out, repeated folds; the same by groups."""

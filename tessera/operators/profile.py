@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import numeric as N
+from tessera.operators.quantiles import quantiles
 
 
 def _long(row: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -38,36 +39,39 @@ def columns_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def statistics(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
-    """n, mean, median, variance, deviation, extremes, corrected skewness and kurtosis, quartiles; exact."""
+    """n, mean, median, variance, deviation, extremes, corrected skewness and kurtosis, quartiles; exact.
+
+    Quartiles come from narrowed brackets, so no task gathers a column's values.
+    """
+    cut = quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.5, 0.75])
+    at = lambda c, i: F.round(F.max(F.lit(cut[c][i]).cast("double")), digits)
     fields = {
-        "n": lambda c: F.count(c), "mean": lambda c: F.round(F.avg(c), digits), "median": lambda c: F.round(F.median(c), digits),
+        "n": lambda c: F.count(c), "mean": lambda c: F.round(F.avg(c), digits), "median": lambda c: at(c, 1),
         "variance": lambda c: F.round(F.var_samp(c), digits), "deviation": lambda c: F.round(F.stddev_samp(c), digits), "least": lambda c: F.min(c), "most": lambda c: F.max(c),
-        "skew": lambda c: F.round(N.skewness_g1(c), digits), "kurt": lambda c: F.round(N.kurtosis_g2(c), digits),
-        "q1": lambda c: F.round(F.percentile(c, 0.25), digits), "q3": lambda c: F.round(F.percentile(c, 0.75), digits),
+        "skew": lambda c: F.round(N.skewness_g1(F.col(c)), digits), "kurt": lambda c: F.round(N.kurtosis_g2(F.col(c)), digits), "q1": lambda c: at(c, 0), "q3": lambda c: at(c, 2),
     }
-    return _long(df.agg(*[f(F.col(c)).alias(f"{c}__{k}") for c in columns for k, f in fields.items()]), columns, list(fields))
+    return _long(df.agg(*[f(c).alias(f"{c}__{k}") for c in columns for k, f in fields.items()]), columns, list(fields))
 
 
 def outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5, z: float = 3.0, mad: float = 3.5) -> DataFrame:
     """column_name and the number of outliers by quartile range, deviation and median deviation.
 
-    Two passes: location and quartiles, then the median deviation and the counts.  The rules
-    need over 3 values and a positive range, a positive deviation, and 5 values.
+    Quantiles come from narrowed brackets, the median deviation likewise, then one pass counts.
+    The rules need over 3 values and a positive range, a positive deviation, and 5 values.
     """
-    first = df.agg(*[x for c in columns for x in (F.percentile(c, 0.25).alias(f"{c}__q1"), F.percentile(c, 0.75).alias(f"{c}__q3"), F.median(c).alias(f"{c}__med"), F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd"), F.count(c).alias(f"{c}__n"))])
-    slim = df.select(*columns).crossJoin(F.broadcast(first))
-    second = F.broadcast(slim.agg(*[F.median(F.abs(F.col(c) - F.col(f"{c}__med"))).alias(f"{c}__mad") for c in columns]))
-    slim = slim.crossJoin(second)
+    cut = quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.5, 0.75])
+    off = quantiles(df, {c: F.abs(F.col(c) - F.lit(cut[c][1]).cast("double")) for c in columns}, [0.5])
+    first = F.broadcast(df.agg(*[x for c in columns for x in (F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd"), F.count(c).alias(f"{c}__n"))]))
     aggs = []
     for c in columns:
         v, of = F.col(c), lambda k, c=c: F.col(f"{c}__{k}")
-        span = of("q3") - of("q1")
+        q1, med, q3, middle = (F.lit(x).cast("double") for x in (*cut[c], *off[c]))
         aggs += [
-            F.count_if((of("n") > 3) & (span > 0) & ((v < of("q1") - factor * span) | (v > of("q3") + factor * span))).alias(f"{c}__iqr"),
+            F.count_if((of("n") > 3) & (q3 > q1) & ((v < q1 - factor * (q3 - q1)) | (v > q3 + factor * (q3 - q1)))).alias(f"{c}__iqr"),
             F.count_if((of("sd") > 0) & (F.abs(v - of("mu")) > z * of("sd"))).alias(f"{c}__zscore"),
-            F.count_if((of("n") >= 5) & (of("mad") > 0) & (0.6745 * F.abs(v - of("med")) > mad * of("mad"))).alias(f"{c}__mad_count"),
+            F.count_if((of("n") >= 5) & (middle > 0) & (0.6745 * F.abs(v - med) > mad * middle)).alias(f"{c}__mad_count"),
         ]
-    return _long(slim.agg(*aggs), columns, ["iqr", "zscore", "mad_count"])
+    return _long(df.select(*columns).crossJoin(first).agg(*aggs), columns, ["iqr", "zscore", "mad_count"])
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

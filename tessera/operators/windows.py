@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.quantiles import quantiles
+
 
 def moving_average(df: DataFrame, value: str, by: Sequence[str], order: Sequence[str], rows: int = 7, name: str = "moving_avg") -> DataFrame:
     """Mean of up to ``rows`` values ending at the row."""
@@ -45,7 +47,8 @@ def anomaly(df: DataFrame, value: str, name: str = "anomaly") -> DataFrame:
 
 def share_of_max(df: DataFrame, value: str, low: float = 0.33, high: float = 0.90) -> DataFrame:
     """share (x / max), and whether x is below and above two exact quantiles."""
-    row = F.broadcast(df.agg(F.max(value).alias("_max"), F.percentile(value, low).alias("_lo"), F.percentile(value, high).alias("_hi")))
+    lo, hi = quantiles(df, {value: F.col(value)}, [low, high])[value]
+    row = F.broadcast(df.agg(F.max(value).alias("_max"), F.max(F.lit(lo).cast("double")).alias("_lo"), F.max(F.lit(hi).cast("double")).alias("_hi")))
     out = df.crossJoin(row).withColumns({"share": F.col(value) / F.when(F.col("_max") != 0, F.col("_max")), "is_low": F.col(value) < F.col("_lo"), "is_high": F.col(value) > F.col("_hi")})
     return out.drop("_max", "_lo", "_hi")
 

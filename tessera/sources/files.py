@@ -93,6 +93,11 @@ def write(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
         raise ValueError(f"no writer for {path}")
 
 
+def append_log(df: DataFrame, path: str) -> None:
+    """Add rows to a log of JSON lines; what is there stays."""
+    df.write.mode("append").json(path)
+
+
 def union_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All files by column name, absent columns null, with ``_source_file``."""
     out = None
