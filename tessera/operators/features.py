@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import numeric as N
+from tessera.operators.graph import numbered
 
 
 def thermal(tmax: Column, tmin: Column, base: float = 10.0) -> dict[str, Column]:
@@ -62,21 +63,15 @@ def flag(condition: Column) -> Column:
 
 
 def encode_sorted(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Codes of the sorted distinct values, from 0; the table of values is small beside the data and joined to it."""
-    from pyspark.sql import Window
-
+    """Codes of the sorted distinct values, from 0; the table of values is joined to the data."""
     codes = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    codes = codes.withColumn(name, (F.row_number().over(Window.orderBy(column)) - 1).cast("int"))
-    return df.join(codes, column, "left")
+    return df.join(numbered(codes, [F.col(column)], name, 0), column, "left")
 
 
 def encode_first_seen(df: DataFrame, column: str, order: Sequence[str], name: str) -> DataFrame:
     """Codes by first appearance in a given order."""
-    from pyspark.sql import Window
-
     seen = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min(F.struct(*order)).alias("_o"))
-    seen = seen.select(column, (F.row_number().over(Window.orderBy("_o")) - 1).cast("int").alias(name))
-    return df.join(seen, column, "left")
+    return df.join(numbered(seen, [F.col("_o"), F.col(column)], name, 0).select(column, name), column, "left")
 
 
 def derive(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:

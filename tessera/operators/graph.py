@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -20,11 +19,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base if '://' in base or base.startswith('file:') else 'file://' + os.path.abspath(base)}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"  # a bare path is one of the cluster's default file system
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: Sequence, name: str, start: int = 1) -> DataFrame:
+    """df with each row's place (int) in a total order under ``name``; ranges of the order are numbered apart and added up."""
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = written(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "numbered")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    ahead = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + F.col("_ahead") + (start - 1)
+    return dealt.join(F.broadcast(ahead), "_part").withColumn(name, place.cast("int")).drop("_part", "_ahead")
+
+
 def property_graph(df: DataFrame, nodes: Sequence[tuple[str, str]], edges: Sequence[tuple[str, str, str]]) -> tuple[DataFrame, DataFrame]:
     """Nodes (id, type, name) and edges (src, dst, type) of a wide table; nulls make neither."""
     ident = lambda t, c: F.concat(F.lit(f"{t}:"), F.col(c).cast("string"))

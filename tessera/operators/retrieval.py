@@ -12,8 +12,10 @@ def chunks(df: DataFrame, key: str, text: str, size: int = 512, overlap: int = 6
     """(key, chunk_no, chunk): windows of ``size`` characters, ``overlap`` shared; shorter than ``least`` dropped."""
     step = size - overlap
     n = F.greatest(F.lit(1), F.ceil((F.length(text) - overlap) / float(step))).cast("int")
-    t = df.filter(F.length(text) > 0).select(key, text, F.explode_outer(F.sequence(F.lit(0), n - 1)).alias("chunk_no"))
-    return t.select(key, "chunk_no", F.substring(F.col(text), F.col("chunk_no") * step + 1, F.lit(size)).alias("chunk")).filter(F.length("chunk") >= least)
+    cut = lambda i: F.struct(i.alias("chunk_no"), F.substring(F.col(text), i * step + 1, F.lit(size)).alias("chunk"))
+    # chunks are exploded, not the text with each chunk's number
+    t = df.filter(F.length(text) > 0).select(key, F.explode(F.transform(F.sequence(F.lit(0), n - 1), cut)).alias("c"))
+    return t.select(key, "c.chunk_no", "c.chunk").filter(F.length("chunk") >= least)
 
 
 def tokens(df: DataFrame, key: str, text: str) -> DataFrame:

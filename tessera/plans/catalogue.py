@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import agronomy, features, graph, leakage, profile
+from tessera.operators import agronomy, features, graph, joins, leakage, profile, recommend, windows
 from tessera.plans.registry import query
 from tessera.plans.tables import observations, table
 
@@ -227,3 +227,39 @@ def graph_json(spark, d):
     """Edges written as JSON documents and read back."""
     edges = table(spark, d, "orders").select(F.concat(F.lit("customer:"), "o_custkey").alias("src"), F.concat(F.lit("order:"), "o_orderkey").alias("dst"), F.lit("places").alias("kind"))
     return graph.from_json(graph.to_json(edges), "src string, dst string, kind string")
+
+
+_ROWS = "OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey ROWS 6 PRECEDING)"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(avg(l_quantity) {_ROWS}, 6) AS quantity_avg, round(avg(l_extendedprice) {_ROWS}, 4) AS price_avg, round(avg(l_discount) {_ROWS}, 8) AS discount_avg, round(avg(l_tax) {_ROWS}, 8) AS tax_avg FROM lineitem")
+def moving_averages(spark, d):
+    """Seven-row means of four columns in the order of each supplier's rows."""
+    df = table(spark, d, "lineitem")
+    for c, name in (("l_quantity", "quantity_avg"), ("l_extendedprice", "price_avg"), ("l_discount", "discount_avg"), ("l_tax", "tax_avg")):
+        df = windows.moving_average(df, c, ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey"], name=name)
+    return df.select(*KEY, F.round("quantity_avg", 6).alias("quantity_avg"), F.round("price_avg", 4).alias("price_avg"), F.round("discount_avg", 8).alias("discount_avg"), F.round("tax_avg", 8).alias("tax_avg"))
+
+
+CONFIDENCE = {"scientific": 0.20, "retrieval": 0.15, "extraction": 0.20, "study_quality": 0.20, "meta_weight": 0.10, "observation_completeness": 0.10, "provenance_completeness": 0.05}
+_PARTS = {"scientific": "value / 500", "retrieval": "user_id % 10 / 10.0", "extraction": "event_id % 4 / 4.0", "study_quality": "user_id % 7 / 7.0", "meta_weight": "event_id % 9 / 9.0", "observation_completeness": "user_id % 3 / 3.0", "provenance_completeness": "event_id % 5 / 5.0"}
+
+
+@query("SELECT event_id, round(" + " + ".join(f"{w!r}::DOUBLE * ({_PARTS[k].replace('.0', '.0::DOUBLE')})" for k, w in CONFIDENCE.items()) + ", 6) AS confidence FROM events")
+def blended_confidence(spark, d):
+    """The verified confidence of all seven weights."""
+    e = table(spark, d, "events").select("event_id", *[F.expr(x.replace(".0", "D")).alias(k) for k, x in _PARTS.items()])
+    return e.select("event_id", F.round(recommend.weighted(CONFIDENCE), 6).alias("confidence"))
+
+
+@query("""WITH z AS (SELECT round(c_custkey % 40 / 2.0) AS y, round(c_custkey % 30 / 2.0) AS x, avg(c_acctbal) AS balance FROM customer GROUP BY 1, 2),
+    k AS (SELECT lower(s_name) AS crop, avg(s_acctbal) AS supply FROM supplier GROUP BY 1)
+    SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN p_retailprice ELSE z.balance END AS balance, k.supply AS supply, NULL::BIGINT AS n_regionkey FROM part
+    LEFT JOIN z ON z.y = p_partkey % 20 AND z.x = p_partkey % 15 LEFT JOIN k ON k.crop = 'supplier#' || lpad((p_partkey % 10)::VARCHAR, 9, '0')""".replace("round(c_custkey % 40 / 2.0)", "round_even(c_custkey % 40 / 2.0, 0)").replace("round(c_custkey % 30 / 2.0)", "round_even(c_custkey % 30 / 2.0, 0)"))
+def enriched_rows(spark, d):
+    """Three packages in turn: one by place, one by crop, one without a key in common."""
+    part = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 20).cast("double").alias("latitude"), (F.col("p_partkey") % 15).cast("double").alias("longitude"), F.concat(F.lit("Supplier#"), F.lpad((F.col("p_partkey") % 10).cast("string"), 9, "0")).alias("crop"), F.when(F.col("p_partkey") % 4 == 0, F.col("p_retailprice")).alias("balance"))
+    by_place = table(spark, d, "customer").select((F.col("c_custkey") % 40 / 2.0).alias("lat"), (F.col("c_custkey") % 30 / 2.0).alias("lon"), F.col("c_acctbal").alias("balance"))
+    by_crop = table(spark, d, "supplier").select(F.col("s_name").alias("crop"), F.col("s_acctbal").alias("supply"))
+    other = table(spark, d, "nation").select(F.col("n_regionkey").cast("bigint").alias("n_regionkey"))
+    return joins.enrich(part, [by_place, by_crop, other]).select("p_partkey", "balance", "supply", "n_regionkey")

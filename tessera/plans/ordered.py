@@ -205,7 +205,7 @@ def page_rank(spark, d):
     return graph.pagerank(n, e, rounds=10).withColumn("rank", F.round("rank", 8))
 
 
-@query()
+@query(f"WITH {_G}, k AS (SELECT (SELECT count(*) FROM v) AS n, (SELECT count(*) FROM e) AS m, (SELECT count(DISTINCT dst) FROM e WHERE type = 'part_of') AS c) SELECT n AS n_nodes, 0 AS isolates, m AS n_edges, c AS components, m / (n * (n - 1)) AS density FROM k")
 def graph_summary(spark, d):
     return graph.summary(*_graph(spark, d))
 

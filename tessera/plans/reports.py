@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import numeric as N
 from tessera.functions import text as X
-from tessera.operators import features, project
+from tessera.operators import features, graph, project
 from tessera.plans.registry import query
 from tessera.plans.tables import OBSERVATIONS, observations, table
 
@@ -212,8 +212,7 @@ def ingestion_duplicates(spark, d):
 def leaderboard(spark, d):
     honest = F.when(F.col("s_suppkey") % 3 != 0, F.col("s_acctbal"))
     s = table(spark, d, "supplier").select("s_suppkey", F.col("s_acctbal").alias("score"), honest.alias("honest"))
-    place = F.row_number().over(Window.orderBy(F.col("honest").isNotNull().desc(), F.col("honest").desc_nulls_last(), F.col("score").desc(), "s_suppkey"))  # one row per model
-    return s.withColumn("place", place)
+    return graph.numbered(s, [F.col("honest").isNotNull().desc(), F.col("honest").desc_nulls_last(), F.col("score").desc(), F.col("s_suppkey")], "place")
 
 
 @query(f"WITH {OBSERVATIONS}, v AS (SELECT paper, treatment, part, supp, nitrogen FROM obs WHERE nitrogen > 48), r AS (SELECT *, row_number() OVER (ORDER BY nitrogen DESC, paper, treatment, part, supp) AS k, count(*) OVER () AS total FROM v) SELECT paper, treatment, part, supp, nitrogen, total FROM r WHERE k <= 10")
@@ -278,7 +277,7 @@ def ols_summary(spark, d):
     return spark.createDataFrame(rows, "feature string, coefficient double, error double, t double")
 
 
-@query()
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(value) AS n, avg((least(greatest(value / 100, 0), 1) > 0.8::DOUBLE)::INT) AS share, median(value) AS median FROM events WHERE value IS NOT NULL GROUP BY 1, 2 HAVING count(value) >= 10")
 def treatment_regimes(spark, d):
     """Drift per tumbling day and type: share of values beyond the shoulder, groups of at least ten."""
     from tessera.streaming.events import drift

@@ -56,7 +56,8 @@ def upsert_into(df: DataFrame, path: str, keys: Sequence[str], checkpoint: str):
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         old = f"{path}/v{batch_id - 1}"
-        new = batch.dropDuplicates(list(keys))
+        row = F.struct(*batch.columns)  # of a key's rows in one batch the largest wins, on every run
+        new = batch.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(row).alias("r")).select("r.*")
         (upsert(spark.read.parquet(old), new, keys) if batch_id else new).write.mode("overwrite").parquet(f"{path}/v{batch_id}")
 
     return df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
