@@ -30,7 +30,7 @@ EMAIL = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++{DOT}[A-Za-z0-9{DOT}-]
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = f"[0-9][0-9{GAP}]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?:\x20[A-Z0-9]{4}){2,7}+(?:\x20[A-Z0-9]{1,3})?+)(?![A-Za-z0-9])"  # whole or in groups of four
 
 
 def _digits(m: Column) -> Column:
@@ -64,7 +64,7 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(m)).between(10, 15)
     if kind == "iban":
-        return mod97(m)
+        return mod97(F.translate(m, " ", ""))
     return F.lit(True)
 
 

@@ -67,6 +67,20 @@ def incremental(history: DataFrame, ledger: DataFrame | None = None, content: st
     return found, new
 
 
+def update(history: DataFrame, path: str, content: str = "content", rules: int = RULES) -> DataFrame:
+    """Findings by path of ``incremental`` with the ledger kept as Parquet below ``path``.
+
+    What the ledger lacks is scanned and appended; a call over the same history scans nothing.
+    One writer at a time; a call that is lost before its append is simply run again.
+    """
+    spark = history.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    found, new = incremental(history, spark.read.parquet(path) if there else None, content, rules)
+    new.write.mode("append").parquet(path)
+    return found
+
+
 def report(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans for every row of docs.
 

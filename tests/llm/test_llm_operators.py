@@ -430,6 +430,24 @@ def test_ledger_scans_only_unseen_blobs(spark):
 
 
 # --- 7 ------------------------------------------------------------------------------------
+def test_kept_ledger_scans_nothing_twice(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    rows = [("a", "password: hunter22"), ("b", "nothing"), ("c", "password: hunter22"), ("d", None)]
+    history = spark.createDataFrame(rows, "path string, content string")
+    first = {r.path: len(r.spans) for r in secrets.update(history, path).collect()}
+    assert first == {"a": 1, "b": 0, "c": 1, "d": 0} and spark.read.parquet(path).count() == 3
+    assert {r.path: len(r.spans) for r in secrets.update(history, path).collect()} == first and spark.read.parquet(path).count() == 3
+    more = spark.createDataFrame([*rows, ("e", "token = abcdef99")], "path string, content string")
+    assert {r.path: len(r.spans) for r in secrets.update(more, path).collect()} == {**first, "e": 1} and spark.read.parquet(path).count() == 4
+    assert secrets.update(history, path, rules=secrets.RULES + 1).count() == 4 and spark.read.parquet(path).count() == 7
+
+
+def test_iban_in_groups(spark):
+    texts = ["pay DE89 3704 0044 0532 0130 00 now", "GB82 WEST 1234 5698 7654 32", "DE88 3704 0044 0532 0130 00", "DE89370400440532013000"]
+    got = [r.spans for r in pii.report(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert ["iban" in g for g in got] == [True, True, False, True] and "iban:4:31" in got[0]
+
+
 @pytest.mark.parametrize("chunk", [4, 8, 12])
 def test_dac_gives_every_token(chunk):
     rng = np.random.default_rng(chunk)
