@@ -235,7 +235,8 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     marked = stored(fingerprints(docs, width), "fingerprints")
     rows = marked.groupBy("doc_id", "key").agg(F.first("fp").alias("fp"), F.count("*").alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "n")
-    least = rows.join(_labelled(marked).select("fp", "label"), "fp").groupBy("label").agg(F.min(order).alias("kept"))
+    per = rows.groupBy("fp").agg(F.min(order).alias("kept"))  # summed up before it is dealt: copies are one row
+    least = per.join(_labelled(marked).select("fp", "label"), "fp").groupBy("label").agg(F.min("kept").alias("kept"))
     hash_, id_, key_, n_ = unused(docs, "hash", "id", "key", "n")
     kept = stored(least.select(F.col("kept.doc_id").alias(id_), F.col("kept.key").alias(key_), F.col("kept.n").alias(n_)), "kept")
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(key_))
