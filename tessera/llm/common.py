@@ -43,6 +43,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of rows that the driver holds, made in the JVM: a list handed to Spark as it is starts Python workers to unpickle it."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=fields), StructType.fromDDL(schema))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches, open_file, shared_dir, shuffle_partitions, write_file
+from tessera.llm.common import batches, open_file, shared_dir, shuffle_partitions, small, write_file
 
 CHUNK = 8
 BLOCK = 512  # bits of the bitmap for each entry of the directory
@@ -269,7 +269,7 @@ def read(manifest: DataFrame, id_type: str = "bigint") -> DataFrame:
     before, total = {}, 0
     for r in sums:
         before[r["part"]], total = total, total + r["n"]
-    offsets = F.broadcast(spark.createDataFrame([(p, n) for p, n in before.items()], "part bigint, offset bigint"))
+    offsets = F.broadcast(small(spark, list(before.items()), "part bigint, offset bigint"))
     earlier = F.sum("n_ids").over(_window()) - F.col("n_ids")
     files = manifest.withColumn("earlier", earlier).join(offsets, "part").select("path", (F.col("earlier") + F.col("offset")).alias("start"))
     files = files.repartition(shuffle_partitions(spark), "path")

@@ -21,8 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower_words, batches, shuffle_partitions, stored, unused
-from tessera.llm.components import components
+from tessera.llm.common import ascii_lower_words, batches, shuffle_partitions, small, stored, unused
+from tessera.llm.components import components, star_forest
 
 NEAR = 3  # differing bits of a link
 SHARED = 5  # positional bytes that such a pair shares at least
@@ -160,8 +160,11 @@ def _edges_of(posting: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def edges(fps: DataFrame) -> DataFrame:
-    """(a, b): links between distinct fingerprints (column fp) that span all components."""
+def edges(fps: DataFrame, stars: bool = False) -> DataFrame:
+    """(a, b): links between distinct fingerprints (column fp) that span all components.
+
+    ``stars``: instead of its links a task returns the star forest of them, of the same reach.
+    """
     spark = fps.sparkSession
     n = fps.count()
     key = lambda table: F.col("fp").bitwiseAND(F.lit(_mask(TRIPLES[table])))
@@ -170,7 +173,7 @@ def edges(fps: DataFrame) -> DataFrame:
     limit = max(HOT, n // HOT_SHARE)  # so at most 8 * HOT_SHARE postings exceed it
     hot = sizes.filter(F.col("size") > limit).select("table", "key").collect()
     if hot:
-        marks = F.broadcast(spark.createDataFrame(hot, "table int, key bigint"))
+        marks = F.broadcast(small(spark, hot, "table int, key bigint"))
         five = F.create_map(*[x for t in range(8) for x in (F.lit(t), F.array(*[F.lit(_mask(s)).cast("bigint") for s in FIVES[t]]))])
         split = index.join(marks, ["table", "key"]).select("fp", F.explode(five[F.col("table")]).alias("mask")).select("fp", F.col("mask").alias("table"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
         index = index.join(marks, ["table", "key"], "left_anti").select("fp", F.col("table").cast("bigint").alias("table"), "key").union(split)
@@ -201,13 +204,13 @@ def edges(fps: DataFrame) -> DataFrame:
         yield out(found)
 
     dealt = index.select("table", "key", "fp").repartition(shuffle_partitions(spark), "table", "key").sortWithinPartitions("table", "key")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow((lambda frames: star_forest(run(frames))) if stars else run, "a bigint, b bigint")
 
 
 def _labelled(marked: DataFrame) -> DataFrame:
     """(fp, least, label) of each distinct fingerprint: its smallest doc_id, and a fingerprint that stands for its component."""
     least = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    labels = components(edges(least.select("fp")))
+    labels = components(edges(least.select("fp"), stars=True), stars=True)
     return least.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tessera.llm import avi, components, dac, hmm, mixing, pii, quality, queries, secrets, simhash, warc, winnow
+from tessera.llm import avi, common, components, dac, hmm, mixing, pii, quality, queries, secrets, simhash, warc, winnow
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, w int, spans string"
 
@@ -242,6 +242,25 @@ def test_hot_postings_lose_no_link(spark, monkeypatch):
 
 
 # --- 4 ------------------------------------------------------------------------------------
+
+def test_star_forests_of_partitions_reach_what_edges_reach(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(-(1 << 63), (1 << 63) - 1, 30)
+    fps = {int(b) ^ (1 << int(k)) for b in base for k in rng.integers(0, 60, 4)} | {int(b) for b in base}
+    nodes = spark.createDataFrame([(f,) for f in sorted(fps)], "fp long")
+    plain = {(r.node, r.label) for r in components.components(simhash.edges(nodes)).collect()}
+    stars = simhash.edges(nodes, stars=True)
+    assert {(r.node, r.label) for r in components.components(stars, stars=True).collect()} == plain and len(plain) == len(fps)
+    assert stars._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # one Python worker a task
+
+
+def test_small_tables_of_the_driver(spark):
+    rows = [(1, 5), (2, None)]
+    assert [tuple(r) for r in common.small(spark, rows, "part bigint, offset bigint").orderBy("part").collect()] == rows
+    none = common.small(spark, [], "table int, key bigint")
+    assert none.count() == 0 and none.dtypes == [("table", "int"), ("key", "bigint")]
+
+
 def test_quality_learns_and_holds_out(spark):
     rng = random.Random(1)
     good, bad = "the of and to in that was for with".split(), "BUY!! WIN!! $$$ FREE!! click%%".split()
