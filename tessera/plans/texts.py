@@ -28,6 +28,11 @@ def title_normalization(spark, d):
     return table(spark, d, "documents").select("doc_id", X.normalize_title(F.substring("text", 1, 80)).alias("title"))
 
 
+@query("SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS title FROM documents")
+def title_normalization_whole(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.normalize_title("text").alias("title"))
+
+
 @query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size + 0.5 WHEN 1 THEN 1000 + p_size WHEN 2 THEN p_size END::DOUBLE AS value FROM part")
 def measurement_parsing(spark, d):
     s = F.col("p_size").cast("string")
