@@ -22,6 +22,20 @@ DESIGNS = [
     (r"crd|completely\s+randomized", "Completely Randomized Design"), (r"rcbd|augmented\s+design", "Augmented Design"),
 ]
 
+CROPS = [
+    (r"\brice\b", "Rice"), (r"\bwheat\b", "Wheat"), (r"\bmaize\b|\bcorn\b", "Maize"), (r"\bsorghum\b", "Sorghum"), (r"\bmillet\b|\bpearl millet\b", "Millet"), (r"\bbarley\b", "Barley"),
+    (r"\bsoybean\b|\bsoya\b", "Soybean"), (r"\bgroundnut\b|\bpeanut\b", "Groundnut"), (r"\bchickpea\b|\bgram\b", "Chickpea"), (r"\bpigeon pea\b|\btoor\b|\bred gram\b", "Pigeon Pea"),
+    (r"\blentil\b", "Lentil"), (r"\bsugarcane\b", "Sugarcane"), (r"\bcotton\b", "Cotton"), (r"\bpotato\b", "Potato"), (r"\btomato\b", "Tomato"), (r"\bpepper\b|\bbell pepper\b", "Pepper"),
+    (r"\bonion\b", "Onion"), (r"\bcarrot\b", "Carrot"), (r"\bspinach\b", "Spinach"), (r"\bcabbage\b|\bbrassica\b", "Cabbage"), (r"\bcanola\b|\brapeseed\b", "Canola"),
+    (r"\bsunflower\b", "Sunflower"), (r"\btea\b", "Tea"), (r"\bcoffee\b", "Coffee"), (r"\brubber\b", "Rubber"), (r"\bmaize-wheat\b", "Maize-Wheat System"), (r"\brice-wheat\b", "Rice-Wheat System"),
+]
+VARIABLES = [  # matched against lower-cased text, so that the single capitals never match
+    (r"\bN\b|nitrogen", "Nitrogen"), (r"\bP\b|phosphorus|phosphate", "Phosphorus"), (r"\bK\b|potassium|potash", "Potassium"), (r"micronutrient", "Micronutrients"), (r"irrigation|water\s+use", "Irrigation"),
+    (r"plant\s+density|planting\s+density|spacing", "Plant Density"), (r"sowing\s+date|planting\s+date", "Sowing Date"), (r"cultivar|variety|genotype", "Cultivar Evaluation"), (r"yield", "Yield"),
+    (r"biomass", "Biomass"), (r"soil\s+properties|soil\s+physical|soil\s+chemical", "Soil Properties"), (r"weather|rainfall|temperature|climat", "Weather Observations"),
+    (r"fertilizer|fertiliser|manure|compost", "Fertilizer Response"), (r"nue|nutrient\s+use\s+efficiency", "Nutrient Use Efficiency"),
+]
+
 
 def has_any(c: Column, words: Sequence[str]) -> Column:
     low, out = F.lower(F.coalesce(c, F.lit(""))), F.lit(False)

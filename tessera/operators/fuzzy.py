@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import numeric as N
@@ -96,3 +98,94 @@ def strongest(strengths: dict[str, Column], default: str) -> Column:
     for label, s in reversed(strengths.items()):
         out = F.when((s == most) & (most > 0), label).otherwise(out)
     return out
+
+
+# Sets of the adjustments, labels of the actions
+ADJUSTMENT = {"low": ("low", 0.0, 0.35), "medium": ("triangle", 0.2, 0.5, 0.8), "high": ("high", 0.6, 1.0)}
+ACTIONS = {"increase": "Increase", "reduce": "Reduce", "maintain": "Maintain", "apply_foliar_spray": "Apply foliar spray", "apply_soil": "Apply to soil", "monitor": "Monitor", "review": "Review program"}
+
+
+@dataclass(frozen=True)
+class Rule:
+    """All conditions (input, set) hold to the least of their degrees; each consequent follows to that strength."""
+
+    conditions: tuple[tuple[str, str], ...]
+    consequents: tuple[dict, ...]
+
+
+def rules_from(document: str | dict) -> list[Rule]:
+    """A rule base of any size from a mapping or its JSON or YAML text; rules without a condition never fire and go.
+
+    {rules: [{antecedents: [{var, set}], consequents: [{type: adjustment, var, set} | {type: nutrient, nutrient, action, amount}
+    | {type: risk or confidence, level}]}]}
+    """
+    if isinstance(document, str):
+        try:
+            document = json.loads(document)
+        except json.JSONDecodeError:
+            import yaml  # only a YAML text needs it
+
+            document = yaml.safe_load(document)
+    made = (Rule(tuple((a["var"], a["set"]) for a in r.get("antecedents") or []), tuple(r.get("consequents") or [])) for r in (document or {}).get("rules") or [])
+    return [r for r in made if r.conditions]
+
+
+def infer(df: DataFrame, inputs: dict[str, Column], rules: Sequence[Rule], sets: dict[str, dict[str, tuple]] = SETS, samples: int = 1000) -> DataFrame:
+    """df with each adjustment's centroid, an action per nutrient, risk, confidence and a summary.
+
+    Rows are only widened: degrees and strengths are columns, no row meets a rule by a join.  An input or a set that is
+    not there holds to degree 0; an adjustment that did not fire is null, a nutrient without a rule is maintained.
+    """
+    named = {v: f"_mu_{i}" for i, v in enumerate(inputs)}
+    labels = {v: list(sets[v]) for v in inputs}
+    df = df.withColumns({named[v]: F.array(*[membership(x, *sets[v][k]) for k in labels[v]]) for v, x in inputs.items()})
+
+    def strength(r: Rule) -> Column:
+        held = [F.col(named[v])[labels[v].index(k)] if v in named and k in labels[v] else F.lit(0.0) for v, k in r.conditions]
+        return F.least(*held) if len(held) > 1 else held[0]
+
+    df = df.withColumn("_fired", F.array(*[strength(r) for r in rules]) if rules else F.array().cast("array<double>"))
+    fired = lambda i: F.col("_fired")[i]
+    follow = [(i, c) for i, r in enumerate(rules) for c in r.consequents]
+    outputs: dict[str, dict[str, list[Column]]] = {}
+    for i, c in follow:
+        if c.get("type") == "adjustment":
+            outputs.setdefault(c["var"], {}).setdefault(c["set"], []).append(fired(i))
+    made = {}
+    for var, by in outputs.items():
+        most = {k: F.greatest(*v) if len(v) > 1 else v[0] for k, v in by.items()}
+        some = F.greatest(*most.values()) if len(most) > 1 else next(iter(most.values()))
+        made[var] = F.when(some > 0, centroid(most, ADJUSTMENT, samples))
+    best = {}
+    for nutrient in ("Nitrogen", "Phosphorus", "Potassium", "Zinc"):
+        best[nutrient] = F.coalesce(_foremost([(_action(c), c["action"], fired(i)) for i, c in follow if c.get("type") == "nutrient" and c["nutrient"] == nutrient]), F.lit("Maintain"))
+    made |= {f"{n}_Action": c for n, c in best.items()}
+    for kind in ("risk", "confidence"):
+        made[kind.title()] = F.coalesce(_foremost([(c["level"], c["level"], fired(i)) for i, c in follow if c.get("type") == kind]), F.lit("medium"))
+    out = df.withColumns(made)
+    said = F.concat_ws(" | ", *[F.when(F.col(f"{n}_Action") != "Maintain", F.concat(F.lit(f"{n}: "), F.lower(f"{n}_Action"))) for n in best])
+    said = F.when(said == "", "all nutrients optimal: keep the schedule").otherwise(said)
+    summary = F.concat(said, F.lit(" | risk: "), F.lower("Risk"), F.lit(" | confidence: "), F.lower("Confidence"))
+    return out.withColumn("Summary", summary).drop("_fired", *named.values())
+
+
+def _action(c: dict) -> str:
+    label, amount = ACTIONS.get(c["action"], c["action"].replace("_", " ").title()), c.get("amount") or 0
+    return f"{label} by {amount:.0f}%" if amount > 0 and c["action"] in ("increase", "reduce") else label
+
+
+def _foremost(options: list[tuple[str, str, Column]]) -> Column:
+    """Text of the strongest of (text, group, strength); null where none fires.
+
+    Of groups that are equally strong the one that fires first in the order given; within it its first strongest.
+    """
+    if not options:
+        return F.lit(None).cast("string")
+    rows = F.filter(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(g).alias("g"), s.alias("s")) for t, g, s in options]), lambda o: o["s"] > 0)
+    return F.transform(F.array(rows), _pick)[0]
+
+
+def _pick(rows: Column) -> Column:
+    top = F.filter(rows, lambda o: o["s"] == F.array_max(F.transform(rows, lambda p: p["s"])))
+    group = F.get(F.filter(rows, lambda o: F.exists(top, lambda p: p["g"] == o["g"])), 0)["g"]
+    return F.get(F.filter(top, lambda o: o["g"] == group), 0)["t"]

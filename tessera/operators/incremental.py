@@ -65,3 +65,11 @@ def priority(df: DataFrame, by: Sequence[str], kind: str, ranks: Sequence[str])
     place = F.array_position(F.array(*[F.lit(r) for r in ranks]), F.col(kind))
     rank = F.struct(F.when(place == 0, len(ranks) + 1).otherwise(place).alias("p"), F.col(kind).alias("k"))
     return df.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(F.min_by(F.struct(*df.columns), rank).alias("r")).select("r.*")
+
+
+def cached(puts: DataFrame, keys: Sequence[str], body: str, order: Sequence[str]) -> DataFrame:
+    """State of a raw cache from its log of puts: the last body by the order given and the number of puts per key.
+
+    Combined before the shuffle, so a key that is put without end sends one row per task.  A null order comes first.
+    """
+    return puts.groupBy(*keys).agg(F.max_by(F.struct(F.col(body)), F.struct(*order)).alias("_b"), F.count(F.lit(1)).alias("puts")).select(*keys, F.col(f"_b.{body}").alias("body"), "puts")

@@ -85,9 +85,11 @@ def manifest(files: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def is_treatment_label(c: Column) -> Column:
-    """Whether a first cell names a treatment: no statistic, factor heading, year or bare number."""
+    """Whether a first cell names a treatment: no statistic, factor heading, year, bare number, product of factors or measured variable."""
     s = F.lower(F.trim(c))
     stat = s.rlike(r"^(mean|average|s\.?e\.?m?\.?|s\.?d\.?|lsd|cd|cv|c\.d\.|c\.v\.|p[- ]?value|significance|f[- ]?test|ns|total)\b")
+    unit = F.regexp_extract(s, r"\((?:cm|mm|m|g|kg|t|q|%|n\.?\s*m|kg\s*hl|°c|days?|no\.?)\b[^)]*\)?", 0)
+    stat = stat | s.rlike(r"^[a-z]{1,3}\s*([x×*]\s*[a-z]{1,3}\s*)+$") | s.rlike(r"^[a-z]$") | ((unit != "") & ~unit.rlike(r"\d\s*[a-z%]"))
     return s.isNotNull() & (s != "") & ~stat & ~s.rlike(r"^(19|20)\d{2}([-/]\d{2,4})?$") & ~s.rlike(r"^[-+]?\d+(\.\d+)?$") & ~s.rlike(r"^(factor|treatments?|year|season|source)s?\b")
 
 

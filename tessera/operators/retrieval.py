@@ -117,3 +117,43 @@ def completeness(links: Column, required: Sequence[str]) -> Column:
 
 def recency(year: Column, now: int, half_life: float = 10.0) -> Column:
     return F.exp(-F.log(F.lit(2.0)) * F.greatest(F.lit(0.0), now - year) / half_life)
+
+
+GRAM = 4  # words between blanks that a text and an item must share before they are compared
+BLOCK = 64 << 20  # bytes of short items that are sought at once
+
+
+def mentions(docs: DataFrame, items: DataFrame, item: str, text: str = "text", bound: int = 64 << 20) -> DataFrame:
+    """(item, mentions): the number of rows of docs whose text holds the whole text of an item; an empty or null one is in none.
+
+    The words inside an item, its first and last left out, stand as whole words in any text that holds it: both sides
+    join by a hash of GRAM such words, one per item, and candidates are compared as texts.  Items too short for that are
+    sought in blocks, as a stated list against all documents.  Items are broadcast only below `bound` bytes of text.
+    """
+    d = docs.select(F.col(text).alias("_text")).filter("_text is not null")
+    q = items.select(F.col(item).alias("_item"), F.col(text).alias("_needle")).filter("_needle <> ''")
+    needles = q.select("_needle").distinct()
+    w = F.split("_needle", " ", -1)
+    inside = F.transform(F.sequence(F.lit(2), F.size(w) - GRAM), lambda i: F.array_join(F.slice(w, i, GRAM), " "))
+    long = F.size(w) >= GRAM + 2
+    # the longest run of words is seldom the commonest
+    anchor = F.array_max(F.transform(F.when(long, inside), lambda g: F.struct(F.length(g).alias("n"), g.alias("g"))))["g"]
+    keyed = needles.filter(long).withColumn("_gram", F.xxhash64(anchor))
+    short = needles.filter(~long)
+    cost = F.length("_needle") * 4 + 64
+    size, brief = needles.select(cost.alias("c"), long.alias("l")).agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(F.when(~F.col("l"), F.col("c"))), F.lit(0))).first()
+    words = d.select("_text", F.split("_text", " ", -1).alias("_w")).filter(F.size("_w") >= GRAM + 2)
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(2), F.size("_w") - GRAM), lambda i: F.xxhash64(F.array_join(F.slice("_w", i, GRAM), " "))))
+    if size <= bound:  # one stage: a text stays where it is, only grams that an item has leave the join
+        met = words.select("_text", F.explode(grams).alias("_gram")).join(F.broadcast(keyed), "_gram")
+    else:  # slim rows are shuffled, texts only to those items that they meet
+        sent = words.select(F.md5("_text").alias("_t"), F.explode(grams).alias("_gram")).join(keyed, "_gram").select("_t", "_needle").distinct()
+        met = words.select("_text", F.md5("_text").alias("_t")).join(sent, "_t")
+    found = met.filter(F.col("_text").contains(F.col("_needle"))).select("_needle")
+    blocks = 1 + 2 * brief // BLOCK
+    for k in range(blocks if brief else 0):
+        some = F.broadcast(short.filter(F.pmod(F.xxhash64("_needle"), F.lit(blocks)) == k))
+        found = found.union(d.join(some, d["_text"].contains(F.col("_needle"))).select("_needle"))
+    n = found.groupBy("_needle").agg(F.count(F.lit(1)).alias("mentions"))
+    out = items.select(F.col(item).alias("_item"), F.col(text).alias("_needle")).join(n, "_needle", "left")
+    return out.select(F.col("_item").alias(item), F.coalesce("mentions", F.lit(0)).cast("bigint").alias("mentions"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-MODULES: list[str] = ["profiling", "fusing", "featuring", "texts", "ordered", "reports", "catalogue"]
+MODULES: list[str] = ["profiling", "fusing", "featuring", "texts", "ordered", "reports", "catalogue", "evaluating"]
 
 
 def query(oracle: str | None = None):
