@@ -118,9 +118,21 @@ def text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
-def batches(frames: Iterator, columns: list[str], size: int = 512) -> Iterator[list[tuple]]:
-    """Rows of Arrow batches as lists of tuples, a bounded number at a time."""
+def batches(frames: Iterator, columns: list[str], size: int = 512, most: int = 16 << 20) -> Iterator[list[tuple]]:
+    """Rows of Arrow batches as lists of tuples: at most ``size`` rows and, but for a row that is larger alone, ``most`` bytes of texts."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     for batch in frames:
-        for at in range(0, batch.num_rows, size):
-            part = batch.slice(at, size)
-            yield list(zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns), strict=True))
+        kept = [batch.column(batch.schema.get_field_index(c)) for c in columns]
+        lengths = np.zeros(batch.num_rows, np.int64)
+        for column in kept:
+            if any(test(column.type) for test in (pa.types.is_string, pa.types.is_binary, pa.types.is_large_string, pa.types.is_large_binary)):
+                lengths += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, at = np.cumsum(lengths), 0
+        while at < batch.num_rows:
+            fits = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+            end = min(at + size, max(fits, at + 1))
+            yield list(zip(*(column.slice(at, end - at).to_pylist() for column in kept), strict=True))
+            at = end

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -43,6 +44,44 @@ def test_avi_round_trip(spark):
     assert avi.digests(avi.to_media(docs.limit(0), "doc_id", "text")).count() == 0
 
 
+def test_shot_feature_equals_a_plain_count():
+    rng = np.random.default_rng(5)
+    texts = [b"\0" * 64, bytes(rng.integers(0, 256, 64 * 700).astype(np.uint8)), b"a" * 64 * 500 + bytes(range(256)) * 900 + b"z" * 64 * 900]
+    cut = 0
+    for payload in texts:
+        info, blocks = avi.decode_blocks(avi.encode_payload(payload))
+        shape, cells = blocks[0].shape, blocks[0].shape[0] * blocks[0].shape[1]
+        full = payload + b"\0" * (cells * len(blocks) - len(payload))
+        held = [Counter(v // 4 for v in full[k * cells : (k + 1) * cells]) for k in range(len(blocks))]
+        counts = [[h[b] for b in range(64)] for h in held]
+        starts, before = [0], []
+        for k in range(1, len(counts)):
+            moved = sum(abs(x - y) for x, y in zip(counts[k - 1], counts[k])) / cells / 2
+            last = before[-8:]
+            mean = sum(last) / len(last) if last else 0.0
+            spread = (sum((x - mean) ** 2 for x in last) / len(last)) ** 0.5 if last else 0.0
+            if moved > max(0.25, mean + 3 * spread):
+                starts.append(k)
+                before = []
+            else:
+                before.append(moved)
+        total = struct.pack("<64q", *(sum(c[b] for c in counts) for b in range(64)))
+        assert avi.feature(blocks) == f"{len(blocks)}:{shape[0]}x{shape[1]}:{'-'.join(map(str, starts))}:{zlib.crc32(total):08x}"
+        cut = max(cut, len(starts))
+    assert cut > 1
+
+
+def test_batches_are_bounded_by_rows_and_bytes():
+    import pyarrow as pa
+
+    texts = ["a" * 50, None, "b" * 300, "c", "d" * 99, "é" * 50, ""] * 7
+    batch = pa.RecordBatch.from_pydict({"n": list(range(len(texts))), "text": texts, "other": ["x" * 1000] * len(texts)})
+    parts = list(common.batches([batch.slice(3), batch.slice(0, 0), batch.slice(0, 3)], ["n", "text"], 4, 100))
+    assert [r for p in parts for r in p] == [*list(enumerate(texts))[3:], *list(enumerate(texts))[:3]]
+    assert all(len(p) <= 4 and (len(p) == 1 or sum(len((t or "").encode()) for _, t in p) <= 100) for p in parts)
+    assert max(map(len, parts)) > 1
+
+
 def test_general_decoder_agrees_with_fixed():
     samples = np.random.default_rng(1).integers(0, 256, (5, 64)).astype(np.uint8)
     jpeg = avi.encode_frame(samples)
