@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 SNIFF = 10_000  # bytes that the sniffers look at
@@ -67,14 +67,44 @@ def read(spark: SparkSession, path: str, sep: str | None = None, encoding: str |
     raise ValueError(f"no reader for {path}")
 
 
-def write(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Write by suffix: parquet, csv, tsv, json lines; sqlite and duckdb take tables that the driver can hold."""
+ROWS = 10_000  # rows that the driver holds at once for a single-file sink
+
+
+def _plain(v):
+    """Rows inside a value as mappings, which Arrow takes for structs."""
+    if isinstance(v, Row):
+        return {k: _plain(x) for k, x in zip(v.__fields__, v)}
+    return [_plain(x) for x in v] if isinstance(v, list) else list(v.items()) if isinstance(v, dict) else v
+
+
+def _portions(df: DataFrame):
+    """Rows of df as Arrow tables of ROWS at most; the driver holds one partition at a time."""
+    import itertools
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema, rows, none = to_arrow_schema(df.schema), df.toLocalIterator(), True
+    while some := list(itertools.islice(rows, ROWS)):
+        none = False
+        yield pa.Table.from_arrays([pa.array([_plain(r[i]) for r in some], f.type) for i, f in enumerate(schema)], schema=schema)
+    if none:
+        yield schema.empty_table()
+
+
+def write(df: DataFrame, path: str, by: Sequence[str] = (), mark: bool = False) -> None:
+    """Write by suffix: parquet, csv, tsv, json lines; sqlite, duckdb and xlsx are single files that the driver writes in portions.
+
+    With ``mark`` each csv or tsv file starts with a byte order mark.  A workbook needs openpyxl and has at most 1,048,575 rows.
+    """
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     w = df.write.mode("overwrite")
     w = w.partitionBy(*by) if by else w
     if suffix == "parquet":
         w.parquet(path)
     elif suffix in ("csv", "tsv"):
+        if mark and df.columns:
+            w = df.withColumnsRenamed({df.columns[0]: "\ufeff" + df.columns[0]}).write.mode("overwrite")
         w.csv(path, header=True, sep="\t" if suffix == "tsv" else ",")
     elif suffix in ("json", "jsonl"):
         w.json(path)
@@ -82,13 +112,23 @@ def write(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
         import sqlite3
 
         with sqlite3.connect(path) as con:
-            df.toPandas().to_sql("data", con, index=False, if_exists="replace")
+            for i, rows in enumerate(_portions(df)):
+                rows.to_pandas().to_sql("data", con, index=False, if_exists="append" if i else "replace")
     elif suffix == "duckdb":
         import duckdb
 
         with duckdb.connect(path) as con:
-            con.register("spark_rows", df.toArrow())
-            con.execute("create or replace table data as select * from spark_rows")
+            for i, rows in enumerate(_portions(df)):
+                con.register("spark_rows", rows)
+                con.execute("insert into data select * from spark_rows" if i else "create or replace table data as select * from spark_rows")
+    elif suffix == "xlsx":
+        import pandas as pd
+
+        if df.limit(1_048_576).count() > 1_048_575:
+            raise ValueError("a sheet holds at most 1,048,575 rows")
+        with pd.ExcelWriter(path) as book:
+            for i, rows in enumerate(_portions(df)):
+                rows.to_pandas().to_excel(book, sheet_name="data", index=False, header=not i, startrow=i * ROWS + bool(i))
     else:
         raise ValueError(f"no writer for {path}")
 

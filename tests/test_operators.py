@@ -192,6 +192,28 @@ def test_round_trip_of_formats(spark, tmp_path, suffix):
     assert [(r.k, r.s, None if r.x is None or r.x != r.x else r.x) for r in got.orderBy("k").collect()] == [(1, "a", 1.5), (2, "é", None)]
 
 
+@pytest.mark.parametrize("suffix", ["sqlite", "duckdb"])
+def test_single_files_are_written_in_portions(spark, tmp_path, monkeypatch, suffix):
+    monkeypatch.setattr(files, "ROWS", 3)
+    df = spark.range(10).select(F.col("id"), F.when(F.col("id") != 4, F.concat(F.lit("v"), "id")).alias("v")).repartition(3)
+    for part, n in ((df, 10), (df.limit(0), 0), (df.limit(2), 2)):  # a later write replaces an earlier one
+        files.write(part, f"{tmp_path}/t.{suffix}")
+        if n:
+            got = files.read(spark, f"{tmp_path}/t.{suffix}")
+            assert got.count() == n and got.columns == ["id", "v"]
+
+
+def test_nested_rows_and_marked_text(spark, tmp_path):
+    nested = spark.sql("select 1 a, named_struct('x', array(named_struct('y', 2))) s, map('k', 3) m")
+    files.write(nested, f"{tmp_path}/n.duckdb")
+    import duckdb
+
+    assert duckdb.connect(f"{tmp_path}/n.duckdb").sql("select s.x[1].y, m['k'] from data").fetchall()[0][0] == 2
+    files.write(spark.createDataFrame([(1, "é")], "k int, s string").coalesce(1), f"{tmp_path}/m.csv", mark=True)
+    part = next(p for p in (tmp_path / "m.csv").iterdir() if p.name.startswith("part"))
+    assert part.read_text(encoding="utf-8-sig").splitlines() == ["k,s", "1,é"] and part.read_bytes().startswith(b"\xef\xbb\xbf")
+
+
 def test_sniffing_union_and_schema(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x;y\n1;2\n", encoding="latin1")
     (tmp_path / "b.csv").write_text("x,z\n3,é\n", encoding="utf-8")
@@ -217,6 +239,9 @@ def test_landed_connector(spark, tmp_path):
     got = landed.load(spark, "crossref", str(tmp_path)).first()
     assert (got.source, got.year, got.doi) == ("crossref", 2020, None)
     assert landed.load(spark, "arxiv", str(tmp_path)).count() == 0
+    (tmp_path / "doaj-1.jsonl").write_text("no record\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landed.load(spark, "doaj", str(tmp_path)).collect()
 
 
 def test_html_tables_expand_spans(spark):
