@@ -37,30 +37,152 @@ def bm25(df: DataFrame, key: str, text: str, query: Sequence[str], k1: float = 1
     return s.groupBy(key).agg(F.sum(score).alias("score"))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return dot(a, b) / F.when(size != 0, size)
-
-
 def nearest(queries: DataFrame, vectors: DataFrame, key: str, vector: str, k: int, threshold: float = -1.0, block: int = 10_000) -> DataFrame:
     """(query, key, score, rank): the k vectors of greatest cosine for each of a stated set of queries.
 
-    Queries go in blocks of about ``block`` rows, each broadcast against all vectors; every
-    task keeps k rows per query before the shuffle.  Null and zero vectors have no score.
+    Queries go in blocks of about ``block`` rows, each broadcast against all vectors, and results
+    of several blocks are written one by one.  A matrix product in float32 proposes, with a margin above
+    its error; what it proposes is scored in double, element after element as SQL does, so copies tie and the smaller
+    key comes first.  Every task keeps k rows per query before the shuffle.  Null and zero vectors have no score.
     """
-    n = queries.count()
-    blocks = max(1, -(-n // block))
-    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("_q"))
+    from tessera.operators.graph import written
+
+    spark = vectors.sparkSession
+    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("_q")).filter("_q is not null")
+    blocks = max(1, -(-q.count() // block))
     w, out = Window.partitionBy("query").orderBy(F.col("score").desc(), key), None
+    schema = f"query {dict(q.dtypes)['query']}, {key} {dict(vectors.dtypes)[key]}, score double"
     for i in range(blocks):
         some = q if blocks == 1 else q.filter(F.pmod(F.xxhash64("query"), F.lit(blocks)) == i)
-        s = vectors.select(key, vector).crossJoin(F.broadcast(some)).select("query", key, cosine(F.col("_q"), F.col(vector)).alias("score")).filter(F.col("score") >= threshold)
+        shared = spark.sparkContext.broadcast(_matrices()(some.toArrow()))
+        s = vectors.select(key, vector).mapInArrow(_nearest(shared, key, k, threshold), schema)
         best = s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        if blocks > 1:
+            best = written(best, "nearest")
+            shared.unpersist()
         out = best if out is None else out.union(best)
     return out
 
 
+def _matrices():
+    """The function that gives keys and vectors (doubles) of a table of two columns by length; vectors with nulls are left out.
+
+    It is pickled whole, so that executors need not import this package.
+    """
+
+    def of(table) -> dict:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        keys, lists = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns)
+        holes = pc.list_parent_indices(lists).filter(pc.is_null(pc.list_flatten(lists))).to_numpy()
+        sizes = pc.fill_null(pc.list_value_length(lists), -1).to_numpy(zero_copy_only=False).copy()
+        sizes[holes] = -1
+        out = {}
+        for n in np.unique(sizes[sizes > 0]).tolist():
+            at = pa.array(np.flatnonzero(sizes == n))
+            out[n] = keys.take(at), pc.list_flatten(lists.take(at)).to_numpy(zero_copy_only=False).reshape(-1, n).astype(float)
+        return out
+
+    return of
+
+
+def _nearest(shared, key: str, k: int, threshold: float, step: int = 512):
+    """The function for Arrow batches that gives (query, key, score) of the k best of a task for each query."""
+    matrices = _matrices()
+
+    def run(frames):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def squares(m):  # summed in order, as the score is
+            s = np.zeros(len(m))
+            for c in m.T:
+                s += c * c
+            return s
+
+        def unit(m, square):  # what float32 can't hold safely is NaN, and so always proposed
+            with np.errstate(all="ignore"):
+                return np.where(((square > 1e-60) & (square < 1e60))[:, None], m / np.sqrt(square)[:, None], np.nan).astype(np.float32)
+
+        class Best:
+            def __init__(self, names, m):
+                self.names, self.columns, self.square = names, np.ascontiguousarray(m.T), squares(m)
+                self.unit, self.margin = unit(m, self.square), 2e-7 * (m.shape[1] + 8)
+                self.low = np.full(len(m), threshold)
+                self.rows, self.held = [], 0
+
+            def add(self, names, m):
+                square = squares(m)
+                units, columns = unit(m, square), np.ascontiguousarray(m.T)
+                for at in range(0, len(m), step):
+                    some = units[at : at + step]
+                    s = self.unit @ some.T
+                    low = lambda: (self.low - self.margin).astype(np.float32)[:, None]
+                    found = ~(s < low())
+                    if len(some) > k and np.count_nonzero(found) > 2 * k * len(s):  # the k best of these bound the rest
+                        least = -np.partition(-s, k - 1, axis=1)[:, k - 1].astype(float)
+                        self.low = np.fmax(self.low, least - self.margin)
+                        found = ~(s < low())
+                    q, v = np.nonzero(found)
+                    v += at
+                    for c in range(0, len(q), 1_000_000):
+                        self.score(q[c : c + 1_000_000], v[c : c + 1_000_000], names, columns, square)
+
+            def score(self, q, v, names, columns, square):
+                dot = np.zeros(len(q))
+                with np.errstate(all="ignore"):
+                    for x, y in zip(self.columns, columns):
+                        dot += x[q] * y[v]
+                    size = np.sqrt(self.square[q] * square[v])
+                    cosine = np.clip(dot / size, -1, 1)
+                kept = (size != 0) & ~(cosine < np.maximum(self.low[q], threshold))
+                self.rows.append((q[kept], names.take(pa.array(v[kept])), cosine[kept]))
+                self.held += int(kept.sum())
+                if self.held > 4 * k * len(self.square) + 100_000:
+                    self.prune()
+
+            def prune(self):
+                q, cosine = (np.concatenate([r[c] for r in self.rows]) for c in (0, 2))
+                names = pa.concat_arrays([r[1] for r in self.rows])
+                place = np.empty(len(names), np.int64)
+                place[pc.array_sort_indices(names).to_numpy()] = np.arange(len(names))
+                order = np.lexsort((place, np.where(np.isnan(cosine), -np.inf, -cosine), q))
+                q = q[order]
+                first = np.searchsorted(q, np.arange(len(self.square)))
+                nth = np.arange(len(q)) - first[q]
+                order, q, nth = order[nth < k], q[nth < k], nth[nth < k]
+                cosine = cosine[order]
+                full = nth == k - 1
+                self.low[q[full]] = np.fmax(self.low[q[full]], cosine[full])
+                self.rows, self.held = [(q, names.take(pa.array(order)), cosine)], len(q)
+
+        best = {n: Best(names, m) for n, (names, m) in shared.value.items()}
+        for part in frames:
+            for n, (names, m) in matrices(part).items():
+                if n in best:
+                    # of equal vectors only the k smallest keys can count
+                    order = pc.array_sort_indices(names).to_numpy()
+                    _, same = np.unique(m[order].view(np.dtype((np.void, m.itemsize * n))).ravel(), return_inverse=True)
+                    by = np.argsort(same, kind="stable")
+                    group = same[by]
+                    nth = np.arange(len(by)) - np.searchsorted(group, group)
+                    kept = order[by[nth < k]]
+                    kept.sort()
+                    best[n].add(names.take(pa.array(kept)), m[kept])
+        for b in best.values():
+            if b.rows:
+                b.prune()
+                for q, names, cosine in b.rows:
+                    for at in range(0, len(q), 100_000):
+                        to = slice(at, at + 100_000)
+                        yield pa.RecordBatch.from_arrays([b.names.take(pa.array(q[to])), names[to], pa.array(cosine[to])], names=["query", key, "score"])
+
+    return run
+
+
 def hashed_embedding(df: DataFrame, key: str, text: str, size: int = 256, n: int = 3) -> DataFrame:
     """(key, vector): hashed character n-grams, signed, of unit length; empty texts have zeros."""
     import numpy as np

@@ -184,6 +184,25 @@ def test_retrieval(spark):
     assert (pooled.k, pooled.fixed, pooled.q, pooled.tau2, pooled.random) == (2, 2.0, pytest.approx(2.0), pytest.approx(1.0), 2.0)
 
 
+def test_nearest_equals_sql_with_copies_and_multiples(spark):
+    import duckdb
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 16)).astype(np.float32)
+    m = np.concatenate([base, base[:20], base * np.float32(3), base[:1].repeat(60, 0), rng.normal(size=(900, 16)).astype(np.float32) * np.float32(1e-3)])
+    ids = rng.permutation(len(m)) * 7
+    data = pd.DataFrame({"id": ids, "v": list(m.astype(float))})
+    con = duckdb.connect()
+    con.register("data", data)
+    want = con.sql("SELECT query, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM (SELECT q.id AS query, d.id AS id, list_cosine_similarity(q.v, d.v) AS score FROM data d, data q WHERE q.id % 5 = 0) WHERE score >= 0.1) WHERE rank <= 6").fetchall()
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, m)] + [(-1, [0.0] * 16), (-2, None), (-3, [1.0, None]), (-4, [1.0, 2.0])], "id int, v array<double>")
+    for block in (10_000, 50):
+        got = retrieval.nearest(df.filter("id % 5 = 0"), df, "id", "v", 6, 0.1, block).select("query", "id", "score", "rank").collect()
+        assert len(got) == len(want) > 1000 and {tuple(r) for r in got} == set(want)
+
+
 def test_derivation_and_encoding(spark):
     df = spark.createDataFrame([(1.0, None, 3.0), (None, None, 4.0)], "a double, t double, kept double")
     got = features.derive(df, [("t", ["a"], F.col("a") * 2), ("kept", ["a"], F.lit(0.0)), ("u", ["nope"], F.lit(0.0))])
