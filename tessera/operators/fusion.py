@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,50 +77,127 @@ def similar_titles(df: DataFrame, key: str, title: str, block: Column, threshold
     return pairs.select(F.col("a.k").alias("a"), F.col("b.k").alias("b"), title_similarity(F.col("a.t"), F.col("b.t")).alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-GRAM = 6  # letters of the pieces through which titles meet
-
-
-def title_pairs(titles: DataFrame, threshold: float = 0.95) -> DataFrame:
+def title_pairs(titles: DataFrame, threshold: float = 0.95, block: int = 30_000) -> DataFrame:
     """(p, q, similarity) of all ordered pairs of titles whose ratio reaches the threshold; titles: distinct n, normalised.
 
-    Complete: such a pair differs by at most (1 - threshold) * (both lengths) deleted and added
-    letters, each of which breaks at most GRAM pieces.  So the rarest GRAM * letters + 1 pieces of both have
-    one in common.  Titles with fewer pieces meet all titles of like length.  Counts of letters
-    sift the pairs before the ratio is taken.
+    Titles are dealt to blocks, and a task compares two blocks.  Complete: such a pair differs by at most
+    D = (1 - threshold) * (both lengths) deleted and added letters.  Of D + 1 pieces that the shorter title is cut into, there is
+    an i-th (from 0) that stands whole in the other, with i letters deleted or added before it and at most D - i from it on: so
+    it is shifted by at most i, by as many less an even number, and by at most D - i against the other end.  Only pairs
+    that meet in such a piece are looked at; counts of letters sift them before the ratio is taken.
     """
-    from tessera.functions.text import ratio
     from tessera.operators.graph import written
 
-    gap, size = 1 - threshold, F.length("n")
-    letters = F.floor(gap * (size + F.floor(size * (2 - threshold) / threshold + 1e-9)) + 1e-9).cast("int")
-    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size - GRAM + 1, F.lit(1))), lambda i: F.substring(F.col("n"), i, F.lit(GRAM))))
-    t = written(titles.filter("n <> ''").select("n", pieces.alias("gs"), (letters * GRAM).alias("broken")), "titles")
-    each = t.select("n", "broken", F.explode("gs").alias("g"))
-    ranked = each.join(each.groupBy("g").agg(F.count("*").alias("c")), "g").groupBy("n", "broken").agg(F.sort_array(F.collect_list(F.struct("c", "g"))).alias("r"))
-    keys = ranked.select("n", F.explode(F.slice("r", F.lit(1), F.col("broken") + 1)).alias("k")).filter("k.c > 1").select("n", F.col("k.g").alias("g"))
-    keys = written(keys, "pieces")
-    met = keys.select("g", F.col("n").alias("p")).join(keys.select("g", F.col("n").alias("q")), "g").filter("p < q").select("p", "q")
-    near = F.explode(F.sequence(F.floor(size * threshold / (2 - threshold)), F.ceil(size * (2 - threshold) / threshold)))
-    few = t.filter("broken > 0 and size(gs) <= broken").select(F.col("n").alias("a"), near.alias("size"))
-    few = few.join(t.select(F.col("n").alias("b"), F.length("n").cast("bigint").alias("size")), "size").filter("a <> b").select(F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
-    long = lambda c: F.length(c)
-    pairs = met.union(few).filter(F.abs(long("p") - long("q")) <= gap * (long("p") + long("q")) + 1e-9)
-
-    @F.pandas_udf("boolean")
-    def like(p: pd.Series, q: pd.Series) -> pd.Series:
-        import numpy as np
+    t = written(titles.filter("n <> ''").select("n"), "titles")
+    blocks = max(4, -(-t.count() // block))
+    dealt = t.select("n", F.pmod(F.xxhash64("n"), F.lit(blocks)).cast("int").alias("own")).select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+    both = dealt.select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n")
+    return both.groupBy("i", "j").applyInArrow(_title_matcher(threshold), "p string, q string, similarity double")
 
-        def counts(s):
-            b = [x.encode() for x in s]  # normalised titles are ASCII
-            row = np.repeat(np.arange(len(b)), [len(x) for x in b])
-            return np.bincount(row * 128 + np.frombuffer(b"".join(b), np.uint8), minlength=len(b) * 128).reshape(-1, 128)
 
-        a, b = counts(p), counts(q)
-        return pd.Series(np.abs(a - b).sum(1) <= gap * (a + b).sum(1) + 1e-9)
+def _title_matcher(threshold: float, most: int = 2_000_000):
+    """The function that gives the alike pairs of one group of two blocks (i, j, own, n), looking at ``most`` meetings at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from difflib import SequenceMatcher
+
+        import numpy as np
 
-    pairs = pairs.filter(like("p", "q")).distinct()
-    both = written(pairs.union(pairs.select("q", "p")), "pairs")
-    return both.withColumn("similarity", ratio(F.col("p"), F.col("q"))).filter(F.col("similarity") >= threshold)
+        table = pa.Table.from_batches(list(batches))
+        i, j, own, texts = table["i"][0].as_py(), table["j"][0].as_py(), table["own"].to_numpy(), table["n"].to_pylist()
+        size = np.array([len(x) for x in texts])
+        flat = np.frombuffer("".join(texts).encode(), np.uint8)  # normalised titles are ASCII
+        used, letter = np.unique(flat, return_inverse=True)
+        counts = np.bincount(np.repeat(np.arange(len(texts)), size) * len(used) + letter, minlength=len(texts) * len(used)).reshape(-1, len(used)).astype(np.int16)
+        # 128 bits "more than t of a letter", those that part titles best: two titles differ in no more bits than letters
+        parts = [(abs(share - 0.5), c, t) for c in range(len(used)) for t in range(int(counts[:, c].max())) if 0 < (share := float((counts[:, c] > t).mean())) < 1]
+        marks = np.zeros((len(texts), 2), np.uint64)
+        for bit, (_, c, t) in enumerate(sorted(parts)[:128]):
+            marks[:, bit % 2] |= (counts[:, c] > t).astype(np.uint64) << np.uint64(bit // 2)
+        start, mark = np.cumsum(size) - size, [np.ascontiguousarray(marks[:, 0]), np.ascontiguousarray(marks[:, 1])]
+        base, power = np.uint64(0x9E3779B97F4A7C15), [np.uint64(1)]
+        with np.errstate(over="ignore"):
+            for _ in range(int(size.max())):
+                power.append(power[-1] * base)
+
+        def side(rows):
+            """By length: rows and the hashes of their beginnings."""
+            out = {}
+            for n in np.unique(size[rows]).tolist():
+                at = rows[size[rows] == n]
+                sums = np.zeros((n + 1, len(at)), np.uint64)
+                for k in range(n):
+                    sums[k + 1] = sums[k] * base + flat[start[at] + k]
+                out[n] = at, sums
+            return out
+
+        def piece(sums, a, b):
+            return sums[b] - sums[a] * power[b - a]
+
+        def meetings(short, long, m, n, gap):
+            """Pairs of rows, in portions, that meet in a piece; all pairs where there are fewer letters than pieces."""
+            (rows, sums), (others, theirs) = short[m], long[n]
+            for k in range(gap + 1) if gap < m else [None]:
+                if k is None:
+                    shifts, keys, order = [0], np.zeros(len(rows), np.uint64), np.arange(len(rows))
+                else:
+                    a, b = k * m // (gap + 1), (k + 1) * m // (gap + 1)
+                    shifts = [s for s in range(-k, k + 1, 2) if abs(s - (n - m)) <= gap - k and a + s >= 0 and b + s <= n]
+                    if not shifts:
+                        continue
+                    order = np.argsort(keys := piece(sums, a, b), kind="stable")
+                    keys = keys[order]
+                for s in shifts:
+                    sought = np.zeros(len(others), np.uint64) if k is None else piece(theirs, a + s, b + s)
+                    low = np.searchsorted(keys, sought)
+                    hits = np.searchsorted(keys, sought, side="right") - low
+                    met = np.flatnonzero(hits)
+                    low, hits = low[met], hits[met]
+                    total, at = np.concatenate([[0], np.cumsum(hits)]), 0
+                    while at < len(met):
+                        to = max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1)
+                        place = np.repeat(low[at:to] - (total[at:to] - total[at]), hits[at:to]) + np.arange(total[to] - total[at])
+                        yield rows[order[place]], np.repeat(others[met[at:to]], hits[at:to])
+                        at = to
+
+        with np.errstate(over="ignore"):
+            first = side(np.flatnonzero(own == i))
+            second = first if i == j else side(np.flatnonzero(own == j))
+            found = []
+            for short, long, equal in [(first, second, True)] + [(second, first, False)] * (i != j):
+                for m in short:
+                    for n in long:
+                        gap = int(np.floor((1 - threshold) * (m + n) + 1e-9))
+                        if n < m or n == m and not equal or n - m > gap or gap < 1:
+                            continue
+                        for x, y in meetings(short, long, m, n, gap):
+                            if i == j and m == n:
+                                x, y = x[x < y], y[x < y]
+                            alike = np.bitwise_count(mark[0][x] ^ mark[0][y]) + np.bitwise_count(mark[1][x] ^ mark[1][y]) <= gap
+                            x, y = x[alike], y[alike]
+                            for at in range(0, len(x), 100_000):
+                                p, q = x[at : at + 100_000], y[at : at + 100_000]
+                                alike = np.abs(counts[p] - counts[q]).sum(1) <= gap
+                                found.append(p[alike] * len(texts) + q[alike])
+                        if len(found) > 1000:
+                            found = [np.unique(np.concatenate(found))]
+        pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+        x, y = pairs // len(texts), pairs % len(texts)
+        for p, q in ((x, y), (y, x)):
+            by = np.argsort(q, kind="stable")
+            for at in range(0, len(by), 10_000):
+                out, matcher, last = [], SequenceMatcher(None), -1
+                for v, w in zip(p[by[at : at + 10_000]].tolist(), q[by[at : at + 10_000]].tolist()):
+                    if w != last:
+                        matcher.set_seq2(texts[w])  # what it knows of the second text is kept
+                        last = w
+                    matcher.set_seq1(texts[v])
+                    if (r := matcher.ratio()) >= threshold:
+                        out.append((texts[v], texts[w], r))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["p", "q", "similarity"])
+
+    return run
 
 
 def all_similar_titles(df: DataFrame, key: str, title: str, threshold: float = 0.95) -> DataFrame:

@@ -67,6 +67,28 @@ def test_all_similar_titles_equal_brute_force(spark):
     assert len(got) == len(brute) > 50 and {(r.a, r.b): r.similarity for r in got} == pytest.approx(brute)
 
 
+def test_title_pairs_of_blocks_equal_brute_force_without_a_join_of_pieces(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(3)
+    made = {"a", "ab", "abc", "b a", "aaaa", "aaaab"}
+    for n in (8, 19, 20, 21, 41, 80, 130):
+        word = "".join(rng.choice("aab c1") for _ in range(n)).strip()
+        for _ in range(12):
+            at = rng.randrange(len(word))
+            made.add(word[:at] + rng.choice(["", "z", "a"]) + word[at + rng.randint(0, 1) :])
+    titles = spark.createDataFrame([(t,) for t in sorted(made)], "n string")
+    for threshold in (0.95, 0.8, 0.3):
+        brute = {(p, q): r for p in made for q in made if p != q and (r := SequenceMatcher(None, p, q).ratio()) >= threshold}
+        for size in ({}, {"block": 9}):
+            pairs = fusion.title_pairs(titles, threshold, **size)
+            got = pairs.collect()
+            assert len(got) == len(brute) > 100 and {(r.p, r.q): r.similarity for r in got} == brute
+            assert "Join" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert fusion.title_pairs(titles.limit(0)).count() == 0
+
+
 def test_profiles_of_empty_and_null_columns(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 1.0)], "a double, b double")
     assert rows(profile.missing(df, ["a", "b"]), "column_name") == [("a", 2, 0, 100.0), ("b", 0, 2, 0.0)]
