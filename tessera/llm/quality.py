@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batches, id_remainder, stored
+from tessera.llm.common import batches, id_remainder, open_file, stored
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -114,6 +114,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold=in_training, samp
     Ids and labels that are null are left out; of an id's several labels the largest counts,
     of its several texts the first by md5, so reruns agree.
     """
+    import pyarrow as pa
+
     slim = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").withColumn("nth", F.md5(F.col("doc_id").cast("string")))
     chosen = slim.filter(fold(F.col("doc_id"))).groupBy("doc_id", "nth").agg(F.max("y").alias("y")).orderBy("nth", "doc_id").limit(sample)
 
@@ -130,13 +132,35 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fold=in_training, samp
     # at most ``sample`` rows are broadcast, and as many texts are grouped
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "nth", "y").agg(F.min(F.struct(F.md5("text").alias("h"), "text"))["text"].alias("text"))
     made = stored(joined.select("nth", "y", "text").mapInArrow(run, "nth string, y int, n bigint, ids binary, share binary"), "quality-sample")
-    sizes = sorted((r.nth, r.n) for r in made.select("nth", "n").collect())
-    fits = np.cumsum([n for _, n in sizes]) <= most
-    if not fits.all():
-        made = made.filter(F.col("nth") < sizes[int(np.argmin(fits))][0])
-    rows = made.toArrow().sort_by("nth")
-    views = [(y.as_py(), np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(s.as_buffer(), np.float32)) for y, i, s in zip(rows["y"], rows["ids"], rows["share"])]
-    return Classifier(seed).fit(views, seed)
+    views = _sample(made.inputFiles(), most)
+    model = Classifier(seed).fit(views, seed)
+    del views
+    pa.default_memory_pool().release_unused()
+    return model
+
+
+def _sample(files: list[str], most: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Label, feature ids and shares by ``nth``, of the first rows of ``most`` features in all.
+
+    Read from the shared folder by portions: collected through Spark, the features would stand in the driver's JVM as well, twice.
+    """
+    from urllib.parse import unquote
+
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    def read(*columns):
+        for f in files:
+            with open_file(unquote(f) if f.startswith("file:") else f) as source:
+                yield from pq.ParquetFile(source).iter_batches(256, columns=columns)
+
+    sizes = sorted((nth, n) for b in read("nth", "n") for nth, n in zip(*(c.to_pylist() for c in b.columns)))
+    fits, views = np.cumsum([n for _, n in sizes]) <= most, []
+    for b in read("nth", "y", "ids", "share"):
+        if not fits.all():
+            b = b.filter(pc.less(b["nth"], sizes[int(np.argmin(fits))][0]))
+        views += [(nth.as_py(), y.as_py(), np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(s.as_buffer(), np.float32)) for nth, y, i, s in zip(b["nth"], b["y"], b["ids"], b["share"])]
+    return [v[1:] for v in sorted(views, key=lambda v: v[0])]
 
 
 def scored(docs: DataFrame, model: Classifier, name: str = "quality_score") -> DataFrame:

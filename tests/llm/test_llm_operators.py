@@ -362,6 +362,17 @@ def test_quality_training_against_plain_descent(spark):
     assert np.allclose(got.out, out) and np.allclose(got.bias, bias) and all(np.allclose(got.vectors[f], v) for f, v in vec.items())
 
 
+def test_quality_sample_is_not_collected_through_spark(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ("good words here " if i % 2 else "spam junk buy ") * 5 + str(i)) for i in range(40)], "doc_id int, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) quality")
+    whole = quality.train(docs, labels, "quality").weights()
+    for name in ("toArrow", "collect", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(type(docs), name, lambda *a, **b: pytest.fail("collected"))
+    again = quality.train(docs, labels, "quality").weights()
+    assert again[1] == whole[1] and (again[0] == whole[0]).all() and again[0].any()
+    assert not (quality.train(docs, labels, "quality", most=300).weights()[0] == whole[0]).all()
+
+
 def test_quality_sample_is_bounded_and_the_same_on_every_run(spark):
     rng = random.Random(10)
     texts = [" ".join(rng.choice("abcdef") * 3 for _ in range(20)) for _ in range(80)]
