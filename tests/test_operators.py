@@ -89,6 +89,52 @@ def test_title_pairs_of_blocks_equal_brute_force_without_a_join_of_pieces(spark)
     assert fusion.title_pairs(titles.limit(0)).count() == 0
 
 
+def test_title_ratios_are_difflibs_without_a_call_a_pair(monkeypatch):
+    import difflib
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng, made = random.Random(4), []
+    for n in (1, 2, 7, 20, 41, 80, 80, 80, 130, 199, 200, 230):
+        for letters in ("ab", "abc ", "abcdefghijklmnop "):
+            word = "".join(rng.choice(letters) for _ in range(n))
+            made += [word, word[n // 4 :] + word[: n // 4]]
+            for _ in range(6):
+                at = rng.randrange(n)
+                made.append(word[:at] + rng.choice(["", "z", "a"]) + word[at + rng.randint(0, 1) :] or "z")
+    p, q = (np.array([rng.randrange(len(made)) for _ in range(6000)]) for _ in range(2))
+    q[::2] = np.minimum(p[::2] // 8 * 8 + q[::2] % 8, len(made) - 1)
+    brute = np.array([difflib.SequenceMatcher(None, made[a], made[b]).ratio() for a, b in zip(p, q)])
+    size = np.array([len(x) for x in made])
+    flat = np.frombuffer("".join(made).encode(), np.uint8)
+    for threshold in (0.95, 0.8, 0.3):
+        got = fusion.block_ratios(flat, np.cumsum(size) - size, size, p, q, threshold)
+        over = brute >= threshold
+        assert over.sum() > 500 and (got[over] == brute[over]).all() and (got[~over] < threshold).all()
+
+    # 400 copies with a letter changed are 79,800 pairs in each order: one call a pair took most of the time
+    words = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(13))
+    titles = sorted({words[:at] + x + words[at + 1 :] for at in range(20) for x in "ijklmnopqrstuvwxyz0123"})[:400]
+    monkeypatch.setattr(difflib, "SequenceMatcher", None)
+    batch = {"i": [0] * 400, "j": [0] * 400, "own": [0] * 400, "n": titles}
+    for columns, most in (({}, 2), ({"low": list(range(400)), "high": list(range(400))}, 1)):
+        out = pa.Table.from_batches(fusion._title_matcher(0.95)([pa.RecordBatch.from_pydict(batch | columns)]))
+        assert len(out) == most * 400 * 399 // 2 and min(out["similarity"].to_pylist()) >= 0.95
+        assert most == 2 or all(a < b for a, b in zip(out["p"].to_pylist(), out["q"].to_pylist()))
+
+
+def test_similar_titles_of_keys_that_repeat_and_lack(spark):
+    title = "soil and water of the plain under wheat and rice in the dry season of years "
+    made = [(3, title + "a"), (1, title + "b"), (2, title + "b"), (None, title + "c"), (5, title.upper() + "A"), (4, ""), (6, None)]
+    alike = {(1, 2), (3, 5), (1, 3), (2, 3), (1, 5), (2, 5)}
+    for kind in ("bigint", "string", "double"):
+        df = spark.createDataFrame(made, "id bigint, t string").withColumn("id", F.col("id").cast(kind))
+        got = [(int(float(r.a)), int(float(r.b))) for r in fusion.all_similar_titles(df, "id", "t").collect()]
+        assert len(got) == len(alike) and set(got) == alike
+
+
 def test_profiles_of_empty_and_null_columns(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 1.0)], "a double, b double")
     assert rows(profile.missing(df, ["a", "b"]), "column_name") == [("a", 2, 0, 100.0), ("b", 0, 2, 0.0)]
